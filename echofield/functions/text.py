@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from echofield import fixed
+from echofield.functions.numbers import let
 
 WHITESPACE = r"\s\x0b\x1c-\x1f\x85\p{Z}"
 DEVANAGARI = r"\x{0900}-\x{097F}"
@@ -37,28 +38,28 @@ def word_count(c: Column) -> Column:
     return F.size(words(c))
 
 
-def _stop_word_hits(padded: Column, lang: str) -> Column:
-    return F.regexp_count(padded, F.lit(" (" + "|".join(fixed.STOP_WORDS[lang]) + ") "))
-
-
-def language_hits(c: Column) -> dict[str, Column]:
-    """Function-word hits per language, from the whole text and without a shuffle."""
+def language_hits(c: Column) -> Column:
+    """Array of function-word hits, one per listed language, from the whole text and without a shuffle."""
     spaced = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}]+", "  ")
     padded = F.concat(F.lit(" "), spaced, F.lit(" "))
-    return {lang: _stop_word_hits(padded, lang) for lang in fixed.STOP_WORDS}
+    patterns = [" (" + "|".join(ws) + ") " for ws in fixed.STOP_WORDS.values()]
+    return let(padded, lambda p: F.array(*[F.regexp_count(p, F.lit(x)) for x in patterns]))
 
 
 def detect_language(c: Column) -> Column:
     """Language with most function-word hits (ties: list order); mostly Devanagari letters -> hi; else unknown."""
     letters = F.regexp_count(c, F.lit(r"\p{L}"))
     native = F.regexp_count(c, F.lit(r"[\x{0900}-\x{097F}]"))
-    hits = language_hits(c)
-    top = F.greatest(*hits.values())
-    picked = F.when(F.coalesce(native * 2 > letters, F.lit(False)) & (native > 0), F.lit("hi"))
-    picked = picked.when(F.coalesce(top, F.lit(0)) == 0, F.lit("unknown"))
-    for lang, n in hits.items():
-        picked = picked.when(n == top, F.lit(lang))
-    return picked
+
+    def pick(hits: Column) -> Column:
+        top = F.array_max(hits)
+        out = F.when(top == 0, F.lit("unknown"))
+        for i, lang in enumerate(fixed.STOP_WORDS):
+            out = out.when(hits[i] == top, F.lit(lang))
+        return out
+
+    mostly_native = F.coalesce((native * 2 > letters) & (native > 0), F.lit(False))
+    return F.when(mostly_native, "hi").otherwise(let(language_hits(c), pick))
 
 
 def is_hinglish(c: Column, lang: Column, strict: bool = False, minimum: int = 2) -> Column:
@@ -110,13 +111,20 @@ def term_tokens(c: Column, faithful: bool = False) -> Column:
 
 def ngrams(tokens: Column, low: int = 1, high: int = 2) -> Column:
     """All n-grams of the token array, low..high words long, joined by one blank."""
-    parts = [tokens] if low <= 1 else []
-    for n in range(max(low, 2), high + 1):
-        starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - n + 1)).otherwise(
-            F.array().cast("array<int>")
-        )
-        parts.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(tokens, i, n), " ")))
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+    def of(t: Column) -> Column:
+        parts = []
+        for n in range(low, high + 1):
+            if n == 1:
+                parts.append(t)
+                continue
+            starts = F.when(F.size(t) >= n, F.sequence(F.lit(1), F.size(t) - n + 1)).otherwise(
+                F.array().cast("array<int>")
+            )
+            parts.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(t, i, n), " ")))
+        return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+    return let(tokens, of)
 
 
 def exclamation_count(c: Column) -> Column:

@@ -7,6 +7,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from echofield.functions.numbers import let
+
 
 def doubles(v: Column) -> Column:
     return v.cast("array<double>")
@@ -22,8 +24,7 @@ def norm(v: Column) -> Column:
 
 def unit(v: Column) -> Column:
     """L2-normalised; a zero vector stays zero."""
-    n = norm(v)
-    return F.transform(doubles(v), lambda x: F.when(n > 0, x / n).otherwise(x))
+    return let(norm(v), lambda n: F.transform(doubles(v), lambda x: F.when(n > 0, x / n).otherwise(x)))
 
 
 def distance(a: Column, b: Column) -> Column:
