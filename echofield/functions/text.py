@@ -109,6 +109,11 @@ def term_tokens(c: Column, faithful: bool = False) -> Column:
     return F.regexp_extract_all(low, F.lit(r"[\p{L}\p{M}\p{N}_]{2,}"), F.lit(0))
 
 
+def _joined_run(t: Column, n: int):
+    """i -> words i..i+n-1 of ``t``; element access keeps the cost per n-gram constant."""
+    return lambda i: F.concat_ws(" ", *[F.element_at(t, i + k) for k in range(n)])
+
+
 def ngrams(tokens: Column, low: int = 1, high: int = 2) -> Column:
     """All n-grams of the token array, low..high words long, joined by one blank."""
 
@@ -121,7 +126,7 @@ def ngrams(tokens: Column, low: int = 1, high: int = 2) -> Column:
             starts = F.when(F.size(t) >= n, F.sequence(F.lit(1), F.size(t) - n + 1)).otherwise(
                 F.array().cast("array<int>")
             )
-            parts.append(F.transform(starts, lambda i, n=n: F.array_join(F.slice(t, i, n), " ")))
+            parts.append(F.transform(starts, _joined_run(t, n)))
         return F.concat(*parts) if len(parts) > 1 else parts[0]
 
     return let(tokens, of)

@@ -92,13 +92,14 @@ def h7(t):
 @query("h8_term_tokens", rf"""WITH x AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}_]{{2,}}') AS w,
       regexp_extract_all(translate(lower(text), '{tx._MARKED}', '{tx._PLAIN}'), '[\p{{L}}\p{{N}}_]{{2,}}') AS f FROM documents)
     SELECT doc_id, len(w)::INTEGER AS n, array_to_string(w, ' ') AS tokens, array_to_string(f, ' ') AS plain_tokens,
-      (2 * len(w) - CASE WHEN len(w) > 0 THEN 1 ELSE 0 END)::INTEGER AS n_grams FROM x""")
+      (2 * len(w) - CASE WHEN len(w) > 0 THEN 1 ELSE 0 END)::INTEGER AS n_grams,
+      array_to_string([w[i] || ' ' || w[i + 1] for i in range(1, len(w))], ',') AS bigrams FROM x""")
 def h8(t):
     w = tx.term_tokens(F.col("text"))
     f = tx.term_tokens(F.col("text"), faithful=True)
     return t("documents").select(
         "doc_id", F.size(w).alias("n"), F.array_join(w, " ").alias("tokens"), F.array_join(f, " ").alias("plain_tokens"),
-        F.size(tx.ngrams(w)).alias("n_grams"),
+        F.size(tx.ngrams(w)).alias("n_grams"), F.array_join(tx.ngrams(w, 2, 2), ",").alias("bigrams"),
     )
 
 

@@ -15,6 +15,7 @@ from echofield import fixed
 from echofield.functions import calendar as cal
 from echofield.functions import labels as lb
 from echofield.functions import text as tx
+from echofield.sources.tables import spread
 
 # Words that do occur in the driver documents, standing in for the legal and money lists.
 LEGAL_HERE = ["stupid", "moron", "scum"]
@@ -22,6 +23,10 @@ MONEY_HERE = ["trash", "clown", "from"]
 PAIR_HERE = ("trash", "clown")
 
 
+# Expressions over these are CPU-bound, so they should use every core even when the file is one split.
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
 class Tables:
     """The tables of one data folder plus the derived views. Every view is a lazy plan."""
 
@@ -30,7 +35,8 @@ class Tables:
         self.folder = folder
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(df) if name in TEXT_TABLES else df
 
     @cached_property
     def reviews(self) -> DataFrame:

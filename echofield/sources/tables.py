@@ -36,6 +36,15 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when a scan has fewer splits than cores (one small file); otherwise unchanged.
+
+    Filters and column pruning still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns by name, bad values -> null, absent columns -> null."""
     out = []
