@@ -16,16 +16,17 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 
 def bounded_join(
     big: DataFrame, small: DataFrame, keys: list[str], salt_by: str, how: str = "inner",
-    max_rows: int = BROADCAST_ROWS, salts: int = SALTS,
+    max_rows: int = BROADCAST_ROWS, salts: int = SALTS, at_most: int | None = None,
 ) -> DataFrame:
     """Join on ``keys``, broadcasting ``small`` only after its size has been checked.
 
     Beyond the bound the join is salted: a hot key of ``big`` is spread over ``salts`` tasks by the hash of
-    ``salt_by`` and ``small`` is repeated once per salt. Only inner, left and left_semi keep their meaning.
+    ``salt_by`` and ``small`` is repeated once per salt. ``at_most`` is a known bound on the rows of ``small``;
+    without it the rows are counted, up to the bound.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    if fits(small, max_rows):
+    if at_most <= max_rows if at_most is not None else fits(small, max_rows):
         return big.join(F.broadcast(small), keys, how)
     b = big.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

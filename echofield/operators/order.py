@@ -100,3 +100,10 @@ def nearest_rank(df: DataFrame, value: str, percents: dict[str, float], groups:
         for n, p in percents.items()
     }
     return _at_ranks(df, value, ranks, groups).select(*groups, "_total", *percents)
+
+
+def lowest_share(df: DataFrame, value: str, share: float, group: str | None = None) -> DataFrame:
+    """(group, _total, _limit): the value at place ceil(share * rows) of each group, so that many rows are <= it."""
+    groups = [group] if group else []
+    rank = {"_limit": F.greatest(F.ceil(F.lit(share) * F.col("_total")).cast("long") - 1, F.lit(0))}
+    return _at_ranks(df, value, rank, groups).select(*groups, "_total", "_limit")
