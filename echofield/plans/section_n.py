@@ -26,8 +26,8 @@ DENSE = VECTORS + """, qv AS (SELECT item_id AS query_id, embedding::DOUBLE[] AS
     dense AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM sims) WHERE rank <= 40)"""
 
 FUSED = f"""{LEXICAL}, {DENSE},
-    both AS (SELECT query_id, doc_id, rank, 0 AS src FROM dense UNION ALL SELECT query_id, doc_id, rank, 1 FROM lexical),
-    fused0 AS (SELECT query_id, doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 12) AS fused, min(src * 1000 + rank) AS seen FROM both GROUP BY ALL),
+    lists AS (SELECT query_id, doc_id, rank, 0 AS src FROM dense UNION ALL SELECT query_id, doc_id, rank, 1 FROM lexical),
+    fused0 AS (SELECT query_id, doc_id, round(sum(1.0::DOUBLE / (60 + rank)), 12) AS fused, min(src * 1000 + rank) AS seen FROM lists GROUP BY ALL),
     fused AS (SELECT query_id, doc_id, fused, row_number() OVER (PARTITION BY query_id ORDER BY fused DESC, seen)::INTEGER AS rank FROM fused0)"""
 
 HYBRID = FUSED + """, hybrid AS (SELECT query_id, doc_id, coalesce(score, 0.0) AS score, f.rank FROM fused f LEFT JOIN (SELECT query_id, doc_id, score FROM dense) USING (query_id, doc_id))"""
