@@ -132,6 +132,26 @@ def ngrams(tokens: Column, low: int = 1, high: int = 2) -> Column:
     return let(tokens, of)
 
 
+def counted(tokens: Column) -> Column:
+    """Array of (term, tf) from a token array, counted inside the row by sorting: no shuffle is needed,
+    because a document is one row."""
+
+    def of(g: Column) -> Column:
+        n = F.size(g)
+        places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(places, lambda i: (i == 1) | (F.element_at(g, i) != F.element_at(g, F.greatest(i - 1, F.lit(1)))))
+
+        def runs(s: Column) -> Column:
+            after = lambda j: F.coalesce(F.get(s, j + 1), n + 1)
+            return F.transform(
+                s, lambda i, j: F.struct(F.element_at(g, i).alias("term"), (after(j) - i).cast("long").alias("tf"))
+            )
+
+        return let(starts, runs)
+
+    return let(F.sort_array(tokens), of)
+
+
 def exclamation_count(c: Column) -> Column:
     return F.regexp_count(F.coalesce(c, F.lit("")), F.lit("!"))
 

@@ -33,6 +33,15 @@ def bounded_join(
     return b.join(s, [*keys, "_salt"], how).drop("_salt")
 
 
+def with_group_values(df: DataFrame, values: DataFrame, group: str, salt_by: str) -> DataFrame:
+    """Rows with the values of their group (one row per group in ``values``), hot groups included.
+
+    The number of groups is read from the group column alone, so the values are not computed twice.
+    """
+    few = fits(df.select(group).distinct())
+    return bounded_join(df, values, [group], salt_by, at_most=0 if few else BROADCAST_ROWS + 1)
+
+
 def aligned(left: DataFrame, right: DataFrame, key: str, vector: str, width: int = 16) -> DataFrame:
     """Rows with their vector; rows without one get a zero vector of the given width."""
     zero = F.array_repeat(F.lit(0.0).cast("float"), width)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from echofield.operators import order
+from echofield.operators import joins, order
 from echofield.operators.profile import rows_n
 
 TINY = 2.220446049250313e-16
@@ -171,7 +171,8 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     c = df.groupBy(label).agg(rows_n().alias("_c"))
     t = c.agg(F.struct(F.sum("_c").alias("n"), rows_n().alias("k"))).scalar()
     c = c.withColumn("_t", t).select(label, (F.col("_t.n") / (F.col("_t.k") * F.col("_c"))).alias(name))
-    return df.join(c, label)
+    spread_by = next(x for x in df.columns if x != label)
+    return joins.with_group_values(df, c, label, spread_by)
 
 
 def group_holdout(
@@ -197,7 +198,7 @@ def stratified_split(df: DataFrame, label: str, key: str, share: float = 0.25, s
     """Per class, the first ceil(share * rows) rows by hash: exact counts, hot classes spread over ranges."""
     d = df.withColumn("_h", _lottery_number(key, seed))
     limit = order.lowest_share(d, "_h", share, label).drop("_total")
-    return d.join(limit, label).withColumn(name, F.col("_h") <= F.col("_limit")).drop("_h", "_limit")
+    return joins.with_group_values(d, limit, label, "_h").withColumn(name, F.col("_h") <= F.col("_limit")).drop("_h", "_limit")
 
 
 def folds(df: DataFrame, label: str, key: str, k: int = 3, seed: int = 42, name: str = "fold") -> DataFrame:

@@ -39,9 +39,7 @@ class LexicalIndex:
 def lexical_index(docs: DataFrame, text: str = "text") -> LexicalIndex:
     tokens = docs.select("doc_id", tx.search_tokens(F.coalesce(F.col(text), F.lit(""))).alias("_t"))
     sized = tokens.withColumn("dl", F.size("_t"))
-    postings = sized.select("doc_id", "dl", F.explode("_t").alias("term")).groupBy("doc_id", "dl", "term").agg(
-        rows_n().alias("tf")
-    )
+    postings = sized.select("doc_id", "dl", F.inline(tx.counted(F.col("_t"))))
     stats = sized.agg(rows_n().alias("n"), F.avg("dl").alias("avgdl"))
     terms = postings.groupBy("term").agg(rows_n().alias("df")).withColumn("_n", stats.select("n").scalar())
     terms = terms.withColumn("_idf", F.log(F.col("_n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
@@ -52,9 +50,8 @@ def lexical_index(docs: DataFrame, text: str = "text") -> LexicalIndex:
 
 def query_terms(queries: DataFrame) -> DataFrame:
     """(query_id, term, qf): a repeated query term counts again."""
-    return queries.select("query_id", F.explode(tx.search_tokens(F.col("question"))).alias("term")).groupBy(
-        "query_id", "term"
-    ).agg(rows_n().alias("qf"))
+    counts = tx.counted(tx.search_tokens(F.col("question")))
+    return queries.select("query_id", F.inline(counts)).withColumnRenamed("tf", "qf")
 
 
 def matching_postings(queries: DataFrame, index: LexicalIndex) -> DataFrame:

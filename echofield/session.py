@@ -16,6 +16,7 @@ def get_session(app: str = "echofield", master: str | None = None, partitions: i
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     if master:
         b = b.master(master).config("spark.driver.memory", "8g")
