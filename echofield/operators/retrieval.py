@@ -273,6 +273,28 @@ def keyword_relevance(docs: DataFrame, patterns: list[tuple], text: str = "text"
     return combine.union_all(parts)
 
 
+def passage_relevance(docs: DataFrame, queries: DataFrame, text: str = "text", question: str = "question") -> DataFrame:
+    """(query_id, doc_id) where the document contains the whole passage, for any number of passages.
+
+    A containing document has every inner word of the passage, so documents meet passages on one of them (the
+    longest, first on ties) and only those candidates are compared. Passages without an inner word are
+    tested as constants; there should be few of them.
+    """
+    words = lambda c: tx.search_tokens(F.col(c))
+    inner = F.slice(F.col("_w"), F.lit(2), F.greatest(F.size("_w") - 2, F.lit(0)))
+    keyed = queries.select("query_id", question, words(question).alias("_w")).select("query_id", question, inner.alias("_w"))
+    longest = F.array_max(F.transform("_w", lambda w: F.length(w)))
+    keyed = keyed.withColumn("_len", longest).select(
+        "query_id", question, F.get(F.filter("_w", lambda w: F.length(w) == F.col("_len")), F.lit(0)).alias("_key")
+    )
+    long = keyed.filter(F.col("_key").isNotNull())
+    d = docs.select("doc_id", text, F.explode(F.array_distinct(words(text))).alias("_key"))
+    found = joins.bounded_join(d, long, ["_key"], "doc_id").filter(F.contains(F.col(text), F.col(question)))
+    short = [(r["query_id"], r[question]) for r in keyed.filter(F.col("_key").isNull()).select("query_id", question).toLocalIterator()]
+    parts = [found.select("query_id", "doc_id")] + ([keyword_relevance(docs, short, text, literal=True)] if short else [])
+    return combine.union_all(parts)
+
+
 def ground_truth(questions: DataFrame, judged: DataFrame, keyword: DataFrame) -> DataFrame:
     """(query_id, doc_id, mode): judged rows where a question has any, else keyword rows unless unanswerable."""
     has = judged.select("query_id").distinct()

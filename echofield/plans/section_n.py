@@ -178,8 +178,7 @@ def _judged(t):
 
 
 def _keyword(t):
-    patterns = [(r.query_id, r.question) for r in t.queries.toLocalIterator()]  # the question set
-    return rt.keyword_relevance(_docs(t), patterns, literal=True)
+    return rt.passage_relevance(_docs(t), t.queries)
 
 
 def _truth(t):

@@ -42,6 +42,17 @@ def test_question_metrics(spark):
     assert rt.metric_block(rt.evaluate(ranking, truth.limit(0)), ["mode"]).count() == 0
 
 
+def test_passage_relevance_matches_plain_search(spark):
+    docs = ["xx the red fox ran off yy", "the red fox", "red", "a The red fox ran off", "the red fox ran offside"]
+    asks = ["the red fox ran off", "red", "fox ran", "", "he red fo"]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    q = spark.createDataFrame(list(enumerate(asks)), "query_id long, question string")
+    want = {(i, j) for i, a in enumerate(asks) for j, d in enumerate(docs) if a in d}
+    assert {(r.query_id, r.doc_id) for r in rt.passage_relevance(df, q).collect()} == want
+    hits = rt.keyword_relevance(df, [(0, "FOX|zz"), (1, "side$")])
+    assert {(r.query_id, r.doc_id) for r in hits.collect()} == {(0, 0), (0, 1), (0, 3), (0, 4), (1, 4)}
+
+
 def test_citation_audit(spark):
     a = spark.createDataFrame([(1, "Slow [R0002][R0001]. Again [R0002]."), (2, "Claim [R9999].")], "query_id int, answer string")
     got = spark.createDataFrame([(1, "R0001"), (1, "R0002"), (2, "R0001")], "query_id int, sid string")
