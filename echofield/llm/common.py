@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,7 +64,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = BATCH_BYT
     at = None
     for batch in batches:
         at = batch.schema.get_field_index(column)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(sizes):
             if held and held + n > most:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echofield.llm import exact_dedup, mixing
+from echofield.llm import bpe, exact_dedup, mixing, token_cache
 
 QUERIES = {}
 ORACLES = {}
@@ -21,10 +21,34 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, through a digest cache that starts empty."""
+    counts = token_cache.token_counts(table(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@query("op10_bpe_round_trip")
+def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text that they decode to, as digests."""
+    coded = bpe.round_trip(table(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+    ids = F.concat_ws(" ", F.transform("ids", lambda i: i.cast("string")))
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 MIX_SQL = r"""
 with d as (
   select doc_id, source, coalesce(text, '') as t,
