@@ -18,6 +18,8 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task turns at once.
 BATCH_BYTES = 8 << 20
+#: log2 of the bits of a table of hashed keys that goes with a scan: 512 KB.
+TABLE_BITS = 22
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -49,6 +51,29 @@ def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total: i
     return first.unionByName(rest).unionByName(none)
 
 
+def _slot(keys: list[str], bits: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(1 << bits))
+
+
+def bit_table(rows: DataFrame, keys: list[str], bits: int = TABLE_BITS) -> DataFrame:
+    """One row with ``_table``, an array of 2^(bits - 6) longs whatever the number of rows: a bit for each hashed key."""
+    words = 1 << (bits - 6)
+    slot = _slot(keys, bits)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))
+    table = rows.select(F.floor(slot / 64).alias("_word"), one.alias("_bits")).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    every = rows.sparkSession.range(words).select(F.col("id").alias("_word"), F.lit(0).cast("long").alias("_bits"))
+    table = table.unionByName(every).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    ordered = F.array_sort(F.collect_list(F.struct("_word", "_bits")))
+    return table.agg(F.transform(ordered, lambda x: x["_bits"]).alias("_table"))
+
+
+def in_table(table: str, keys: list[str], bits: int = TABLE_BITS) -> Column:
+    """False only for keys that are not in the table; true for all that are and for few others while it is not full."""
+    slot = _slot(keys, bits)
+    word = F.element_at(table, (F.floor(slot / 64) + 1).cast("int"))
+    return F.call_function("shiftright", word, F.pmod(slot, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 def identity(name: str = "doc_id") -> Column:
     """The id as text, as the fold rules take it."""
     return F.col(name).cast("string")

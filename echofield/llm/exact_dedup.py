@@ -11,41 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from echofield.llm.common import SPACE_CLASS, staged, with_group
+from echofield.llm.common import SPACE_CLASS, TABLE_BITS, bit_table, in_table, staged, with_group
 
 PREFIX_CHARS = 64
-#: log2 of the bits in the table of surviving (length, prefix) pairs: 512 KB.
-TABLE_BITS = 22
 
 
 def without_space(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_CLASS + "+", "")
 
 
-def _slot(bits: int) -> Column:
-    return F.pmod(F.xxhash64("_length", "_prefix"), F.lit(1 << bits))
-
-
 def survivors(counts: DataFrame) -> DataFrame:
     """Pairs of length and prefix hash that more than one row has; lengths that one row has are out first."""
     lengths = counts.groupBy("_length").agg(F.sum("_n").alias("_rows")).filter("_rows > 1").select("_length")
     return counts.join(lengths, "_length", "left_semi").filter("_n > 1").select("_length", "_prefix")
 
 
-def bit_table(pairs: DataFrame, bits: int) -> DataFrame:
-    """One row with an array of 2^(bits - 6) longs, whatever the number of pairs."""
-    spark = pairs.sparkSession
-    words = 1 << (bits - 6)
-    slot = _slot(bits)
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int"))
-    set_ = pairs.select(F.floor(slot / 64).alias("_word"), one.alias("_bits"))
-    every = spark.range(words).select(F.col("id").alias("_word"), F.lit(0).cast("long").alias("_bits"))
-    table = set_.groupBy("_word").agg(F.bit_or("_bits").alias("_bits")).unionByName(every)
-    table = table.groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
-    ordered = F.array_sort(F.collect_list(F.struct("_word", "_bits")))
-    return table.agg(F.transform(ordered, lambda x: x["_bits"]).alias("_table"))
-
-
 def exact_dedup(
     docs: DataFrame, text: str = "text", id_col: str = "doc_id", keep: tuple[str, ...] = (),
     prefix_chars: int = PREFIX_CHARS, table_bits: int = TABLE_BITS,
@@ -65,11 +45,9 @@ def exact_dedup(
     )
     shape = [F.length("_plain").alias("_length"), F.xxhash64(F.left("_plain", F.lit(prefix_chars))).alias("_prefix")]
     counts = staged(base.select(*shape).groupBy("_length", "_prefix").agg(F.count(F.lit(1)).alias("_n")), "dedup-counts")
-    table = staged(bit_table(survivors(counts), table_bits), "dedup-table")
+    table = staged(bit_table(survivors(counts), ["_length", "_prefix"], table_bits), "dedup-table")
 
-    slot = _slot(table_bits)
-    word = F.element_at("_table", (F.floor(slot / 64) + 1).cast("int"))
-    hit = F.call_function("shiftright", word, F.pmod(slot, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    hit = in_table("_table", ["_length", "_prefix"], table_bits)
     carried = [f"_keep{i}" for i in range(len(keep))]
     rows = base.select("_id", "_chars", "_plain", *carried, *shape, table.scalar().alias("_table"))
     rows = rows.select("_id", "_chars", *carried, F.when(hit, F.unhex(F.sha2("_plain", 256))).alias("_full"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echofield.llm import bpe, exact_dedup, mixing, token_cache
+from echofield.llm import bpe, exact_dedup, language, lsh_forest, mixing, token_cache
+from echofield.llm.common import fold
 
 QUERIES = {}
 ORACLES = {}
@@ -32,6 +33,44 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents of two folds of three."""
+    d = table(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", fold(3) == 1)
+    return language.identify(d, ~F.col("held_out"), keep=("held_out",))
+
+
+NEAR_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+  from documents
+), s as (
+  select doc_id, case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) end as sh from w
+), e as (
+  select doc_id, unnest(sh) as g from s
+), c as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n from e a join e b on a.g = b.g and a.doc_id < b.doc_id group by all
+), l as (
+  select a, b from c join s x on x.doc_id = a join s y on y.doc_id = b where 100 * n >= 85 * (len(x.sh) + len(y.sh) - n)
+), u as (
+  select a, b from l union all select b, a from l
+), r(a, b) as (
+  select a, b from u union select r.a, u.b from r join u on r.b = u.a
+), m as (
+  select a, min(b) as low from r group by a
+)
+select doc_id, len(sh)::bigint as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id,
+  doc_id <= coalesce(low, doc_id) as kept from s left join m on s.doc_id = m.a
+"""
+
+
+@query("op3_near_dedup", NEAR_SQL)
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near duplicates over all documents."""
+    return lsh_forest.near_dedup(table(spark, sf_dir))
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, through a digest cache that starts empty."""
