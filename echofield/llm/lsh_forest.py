@@ -71,7 +71,9 @@ def word_hashes(text: str) -> np.ndarray:
         if len(starts):
             length = np.diff(np.append(starts, len(part)))
             place = np.arange(starts[0], len(part)) - np.repeat(starts, length)
-            power = np.cumprod(np.concatenate([[1], np.full(int(place.max()), BASE, np.uint64)]).astype(np.uint64))
+            power = np.full(int(place.max()) + 1, BASE, np.uint64)
+            power[0] = 1
+            power = np.cumprod(power, dtype=np.uint64)
             value = (part[starts[0] :].astype(np.uint64) + np.uint64(1)) * power[place]
             value[space[starts[0] :]] = 0
             out.append(_mixed(np.add.reduceat(value, starts - starts[0])))

@@ -20,7 +20,7 @@ from echofield.llm.common import WORD, staged, with_group
 WEIGHTS = (5.0, 2.0, 1.0)
 TOTAL_SHARE = 1.5
 MOST_EPOCHS = 2
-ROWS_IN_RANGE = 20_000
+ROWS_IN_RANGE = 2_000
 #: ASCII characters that are neither letters nor white space: their share lowers the quality weight.
 ASCII_MARKS = r"[!-@\[-`{-~]"
 
