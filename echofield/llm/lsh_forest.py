@@ -105,9 +105,10 @@ def signature(s: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(32)).astype(">u4")
 
 
-def _classes(docs: DataFrame, text: str, id_col: str) -> DataFrame:
-    """``_id``, ``_n``, ``_cls`` (null for no words) and ``_sig`` of every row."""
-    d = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
+def _classes(docs: DataFrame, text: str, id_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """``_id``, the kept columns, ``_n``, ``_cls`` (null for no words) and ``_sig`` of every row."""
+    names = ["_id", *[f"_keep{i}" for i in range(len(keep))]]
+    d = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"), *[F.col(c).alias(n) for c, n in zip(keep, names[1:])])
 
     def run(batches):
         for batch in slices(batches, "_text"):
@@ -116,10 +117,10 @@ def _classes(docs: DataFrame, text: str, id_col: str) -> DataFrame:
                 pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), *columns], ["_id", "_n", "_cls", "_sig"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *columns], [*names, "_n", "_cls", "_sig"])
 
     kinds = [("_n", T.LongType()), ("_cls", T.BinaryType()), ("_sig", T.BinaryType())]
-    return d.mapInArrow(run, T.StructType([d.schema["_id"], *[T.StructField(n, k) for n, k in kinds]]))
+    return d.mapInArrow(run, T.StructType([*[d.schema[n] for n in names], *[T.StructField(n, k) for n, k in kinds]]))
 
 
 PAIR = "_tree int, _x binary, _y binary, _m bigint, _n bigint, _label binary, _label2 binary, _edge boolean"
@@ -253,9 +254,9 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def near_dedup(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", threshold: int = THRESHOLD,
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", threshold: int = THRESHOLD, keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per input row: ``id_col``, ``n_shingles``, ``component_id``, ``kept``.
+    """One row per input row: ``id_col``, ``n_shingles``, ``component_id``, ``kept``, and the columns named in ``keep``.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text with A-Z in lower case. Documents are linked when 100 times the
     intersection of their sets is at least ``threshold`` times the union; ``component_id`` is the smallest id that can
@@ -264,7 +265,7 @@ def near_dedup(
     null id comes after every other; a component without any id has a null ``component_id`` and is kept. An empty table
     gives an empty result. Other columns are ignored whatever their names.
     """
-    rows = staged(_classes(docs, text, id_col), "forest-rows")
+    rows = staged(_classes(docs, text, id_col, keep), "forest-rows")
     members = rows.filter(F.col("_cls").isNotNull()).groupBy("_cls").agg(
         F.min("_id").alias("_one"), F.count(F.lit(1)).alias("_size"), F.first("_n").alias("_n"), F.first("_sig").alias("_sig")
     )
@@ -294,4 +295,7 @@ def near_dedup(
     named = staged(named.join(tops, "_root").select("_cls", "_size", "_component"), "forest-components")
     out = with_group(rows.drop("_sig"), named, "_cls", "_size", rows.count())
     component = F.when(F.col("_size").isNull(), F.col("_id")).otherwise(F.col("_component"))
-    return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("_id")).alias("kept"))
+    return out.select(
+        F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("_id")).alias("kept"),
+        *[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)],
+    )
