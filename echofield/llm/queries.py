@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echofield.llm import bpe, exact_dedup, language, lsh_forest, mixing, token_cache
-from echofield.llm.common import fold
+from echofield.llm import bpe, exact_dedup, language, lsh_forest, mixing, token_cache, topk
+from echofield.llm.common import fold, staged
 
 QUERIES = {}
 ORACLES = {}
@@ -148,3 +148,36 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir)
     digest = F.sha2(exact_dedup.without_space(F.col("text")), 256)
     return exact_dedup.exact_dedup(d.select("doc_id", "text", digest.alias("text_sha256")), keep=("text_sha256",))
+
+
+TOPK_SQL = r"""
+with t as (
+  select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as ws from documents
+), n as (
+  select count(*)::double as n, sum(len(ws)) / count(*)::double as mean from t
+), p as (
+  select doc_id, len(ws) as dl, unnest(ws) as w from t
+), f as (
+  select doc_id, dl, w, count(*) as tf from p group by all
+), q as (
+  select item_id, w, count(*) as times
+  from (select item_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) as w from benchmark where item_id % 20 = 0) group by all
+), i as (
+  select w, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) as idf from f, n where w in (select w from q) group by w
+), s as (
+  select item_id, doc_id, round(sum(times * idf * (tf * 2.2) / (tf + 1.2 * (0.25 + 0.75 * (dl / mean)))), 6) as score
+  from f join q using (w) join i using (w), n group by item_id, doc_id
+), r as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from s
+)
+select item_id, rank::int as rank, doc_id, score from r where rank <= 10
+"""
+
+
+@query("op9_topk_search", TOPK_SQL)
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item whose id is divisible by 20, against all documents."""
+    index = staged(topk.build_index(table(spark, sf_dir)), "search-index")
+    asked = table(spark, sf_dir, "benchmark").filter("item_id % 20 = 0")
+    found = topk.search(index, asked, 10, "text", "item_id")
+    return found.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
