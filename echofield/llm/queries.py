@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echofield.llm import bpe, exact_dedup, language, lsh_forest, mixing, token_cache, topk
+from echofield.llm import bpe, cotraining, exact_dedup, language, lsh_forest, mixing, token_cache, topk
 from echofield.llm.common import fold, staged
 
 QUERIES = {}
@@ -40,6 +40,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(d, ~F.col("held_out"), keep=("held_out",))
 
 
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from its text and its page, learned by co-training."""
+    d = table(spark, sf_dir)
+    return cotraining.score(d, cotraining.train(d, table(spark, sf_dir, "labels")))
+
+
 NEAR_SQL = r"""
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
