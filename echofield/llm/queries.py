@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echofield.llm import bpe, cotraining, exact_dedup, language, lsh_forest, mixing, token_cache, topk
+from echofield.llm import bpe, cotraining, exact_dedup, language, lsh_forest, maxent, mixing, token_cache, topk
 from echofield.llm.common import fold, staged
 
 QUERIES = {}
@@ -95,6 +95,14 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_lm_score")
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document, learned from six folds of seven."""
+    d = table(spark, sf_dir).select("doc_id", "text").withColumn("held_out", fold(7) == 2)
+    model, counts = maxent.train(d.filter(~F.col("held_out")), key=F.col("doc_id"))
+    return maxent.score(d, model, counts, keep=("held_out",))
+
+
 MIX_SQL = r"""
 with d as (
   select doc_id, source, coalesce(text, '') as t,
