@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echofield.llm import bpe, cotraining, exact_dedup, language, lsh_forest, maxent, mixing, token_cache, topk
+from echofield.llm import bpe, bwt, cotraining, exact_dedup, language, lsh_forest, maxent, mixing, token_cache, topk
 from echofield.llm.common import fold, staged
 
 QUERIES = {}
@@ -78,6 +78,14 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_dedup(table(spark, sf_dir))
 
 
+@query("op4_repeated_passages")
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that 200-byte strings found elsewhere cover, and the digest of what is left."""
+    found = bwt.repeated_passages(table(spark, sf_dir))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["b"] - s["a"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("rest", 256).alias("kept_sha256"))
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, through a digest cache that starts empty."""
