@@ -17,14 +17,13 @@ DEVANAGARI = r"\x{0900}-\x{097F}"
 SEARCH_TOKEN = r"[a-z0-9]+|[\x{0900}-\x{097F}]+"
 
 
-def clean_text(c: Column, squeeze: bool = True) -> Column:
+def clean_text(c: Column) -> Column:
     """Lower-case; drop links, tags and symbols; shorten runs of 4+ equal characters to 2; tidy blanks."""
     c = F.lower(F.coalesce(c, F.lit("")))
     c = F.regexp_replace(c, rf"http[^{WHITESPACE}]+|www[^{WHITESPACE}]+", " ")
     c = F.regexp_replace(c, r"<[^>]+>", " ")
     c = F.regexp_replace(c, rf"[^\p{{L}}\p{{N}}_{WHITESPACE}{DEVANAGARI}.,!?'-]", " ")
-    if squeeze:
-        c = F.regexp_replace(c, r"([^\n])\1{3,}", "$1$1")
+    c = F.regexp_replace(c, r"([^\n])\1{3,}", "$1$1")
     return F.trim(F.regexp_replace(c, rf"[{WHITESPACE}]+", " "))
 
 

@@ -89,9 +89,11 @@ _HALF = 1 << 20  # cell coordinates are stored with 21 bits each, so up to three
 
 
 def _cell_number(parts) -> F.Column:
+    """One number for a cell; a coordinate outside the range raises, since it would take another cell's number."""
     out = F.lit(0).cast("long")
+    far = F.raise_error(F.lit(f"a coordinate is {_HALF} cells or more from the origin; choose a larger eps")).cast("long")
     for p in parts:
-        out = out * F.lit(2 * _HALF) + (p + _HALF)
+        out = out * F.lit(2 * _HALF) + F.when(F.abs(p) < _HALF - 1, p + _HALF).otherwise(far)
     return out
 
 

@@ -16,10 +16,10 @@ def keep_first(df: DataFrame, text: str, key: str = "id") -> DataFrame:
     """One row per distinct text: the one with the lowest key.
 
     Grouping is by the SHA-256 of the whole text, and copies collapse inside each task before the shuffle,
-    so a text that a third of the rows share sends one row per task.
+    so a text that a third of the rows share sends one row per task. Null texts are equal to each other only.
     """
     rest = [c for c in df.columns]
-    g = df.groupBy(F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("_h")).agg(
+    g = df.groupBy(F.sha2(F.col(text), 256).alias("_h")).agg(
         F.min_by(F.struct(*rest), F.col(key)).alias("_row")
     )
     return g.select("_row.*")

@@ -63,14 +63,13 @@ def dense_ids(df: DataFrame, key: str, name: str = "row_id", ranges: int = RANGE
 def _at_ranks(df: DataFrame, value: str, ranks: dict[str, Column], groups: list[str]) -> DataFrame:
     """Per group the values at the given 0-based ranks; each rank is an expression over ``_total``."""
     run = running_totals(df, value, {"n": F.count(F.lit(1))}, groups)
-    key = groups or ["_all"]
-    if not groups:
-        run = run.withColumn("_all", F.lit(0))
-    totals = run.groupBy(*key).agg(F.sum("n").alias("_total"))
+    if groups:
+        run = run.join(run.groupBy(*groups).agg(F.sum("n").alias("_total")), groups)
+    else:
+        run = run.withColumn("_total", run.agg(F.sum("n")).scalar())
     hit = lambda r: (F.col("run_n") - F.col("n") <= r) & (r < F.col("run_n"))
     return (
-        run.join(totals, key)
-        .groupBy(*key, "_total")
+        run.groupBy(*groups, "_total")
         .agg(*[F.max(F.when(hit(r), F.col(value))).alias(n) for n, r in ranks.items()])
     )
 

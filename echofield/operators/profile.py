@@ -229,7 +229,7 @@ def report_facts(df: DataFrame) -> DataFrame:
 
 
 def mean_pair_cosine(
-    df: DataFrame, bucket: str, vector: str, key: str = "id", first: int | None = 20, minimum: int = 5
+    df: DataFrame, bucket: str, vector: str, key: str = "id", first: int | None = None, minimum: int = 5
 ) -> DataFrame:
     """(left, right, mean cosine over all pairs) for every two buckets, self pairs included.
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from echofield.functions import vectors as vx
+from echofield.operators import order
 from echofield.operators.profile import rows_n
 
 EPS = 1e-9
@@ -144,16 +145,19 @@ def cumulative_share(df: DataFrame, component: str, share: str) -> DataFrame:
 
 
 def history_text(df: DataFrame, conv: str, turn: str, question: str, answer: str, turns: int = 3, cut: int = 300):
-    """Q/A lines of up to ``turns`` earlier turns; turns are numbered consecutively within a conversation.
+    """Q/A lines of up to ``turns`` earlier turns, whatever their numbers: turns are counted by their order.
 
-    Each turn hands its line to the next few turns and the lines meet by (conversation, turn), so one very
-    long conversation spreads over all tasks.
+    Places come from range sums, each turn hands its line to the next few places, and the lines meet by
+    (conversation, place), so one very long conversation spreads over all tasks. Turns that share a number share a
+    place; conversations and turns must not be null.
     """
+    at = order.running_totals(df.select(conv, turn).distinct(), turn, {"n": F.count(F.lit(1))}, [conv]).select(conv, turn, F.col("run_n").alias("_at"))
+    df = df.join(at, [conv, turn])
     line = F.concat(F.lit("Q: "), F.col(question), F.lit("\nA: "), F.substring(F.col(answer), 1, cut))
-    given = df.select(conv, F.col(turn).alias("_from"), line.alias("_line")).withColumn(
-        turn, F.explode(F.sequence(F.col("_from") + 1, F.col("_from") + turns))
+    given = df.select(conv, F.col("_at").alias("_from"), line.alias("_line")).withColumn(
+        "_at", F.explode(F.sequence(F.col("_from") + 1, F.col("_from") + turns))
     )
-    lines = given.groupBy(conv, turn).agg(F.array_sort(F.collect_list(F.struct("_from", "_line"))).alias("_ls"))
-    out = df.join(lines, [conv, turn], "left")
+    lines = given.groupBy(conv, "_at").agg(F.array_sort(F.collect_list(F.struct("_from", "_line"))).alias("_ls"))
+    out = df.join(lines, [conv, "_at"], "left").drop("_at")
     text = F.array_join(F.transform("_ls", lambda x: x["_line"]), "\n")
     return out.withColumn("history", F.coalesce(text, F.lit(""))).drop("_ls")

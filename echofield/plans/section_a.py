@@ -11,9 +11,9 @@ from echofield.sources import tables as src
 
 @query("a1_ingest_newest", f"""WITH {REVIEWS}, r AS (SELECT review_id, platform, 'store' AS source, lang, trim(coalesce(content, '')) AS content,
       score, coalesce(thumbs_up, 0) AS thumbs_up, row_number() OVER (PARTITION BY platform, lang ORDER BY "at" DESC, review_id)::INTEGER AS newest_rank FROM reviews)
-    SELECT * FROM r WHERE newest_rank <= 5""")
+    SELECT * FROM r WHERE newest_rank <= 500""")
 def a1(t):
-    return src.ingest(t.reviews, 5).drop("at")
+    return src.ingest(t.reviews, 500).drop("at")
 
 
 _CSV = T.StructType([T.StructField("id", T.LongType()), T.StructField("content", T.StringType()),
@@ -59,7 +59,12 @@ def a7(t):
     return t.spark.read.parquet(path).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("a8_fingerprint", """WITH h AS (SELECT md5(concat_ws('|', coalesce(event_id::VARCHAR, '~'), coalesce(user_id::VARCHAR, '~'), coalesce(event_type, '~'), coalesce(props, '~'))) AS h FROM events)
+def _part(c: str) -> str:
+    v = f"{c}::VARCHAR"
+    return f"'{len(c)}:{c}=' || coalesce(length({v}) || ':' || {v}, '~')"
+
+
+@query("a8_fingerprint", f"""WITH h AS (SELECT md5(concat_ws('|', {', '.join(_part(c) for c in ('event_id', 'user_id', 'event_type', 'props'))})) AS h FROM events)
     SELECT count(*) AS n_rows, sum(('0x' || substr(h, 1, 8))::BIGINT)::BIGINT AS hash_sum, bit_xor(('0x' || substr(h, 9, 15))::BIGINT) AS hash_xor FROM h""")
 def a8(t):
     return src.fingerprint(t("events"), ["event_id", "user_id", "event_type", "props"])

@@ -30,10 +30,10 @@ def b2(t):
 @query(
     "b3_dense_row_id",
     f"""WITH {REVIEWS} SELECT id, row_number() OVER (ORDER BY id) - 1 AS row_id
-        FROM reviews WHERE length(content) >= 400""",
+        FROM reviews WHERE length(content) >= 10""",
 )
 def b3(t):
-    return order.dense_ids(rows.min_length(t.reviews.select("id", "content"), "content", 400), "id").select(
+    return order.dense_ids(rows.min_length(t.reviews.select("id", "content"), "content", 10), "id").select(
         "id", "row_id"
     )
 

@@ -150,7 +150,7 @@ def d13(t):
 
 @query("d14_mean_pair_cosine", f"""WITH {CLEANED}, {VECTORS}, s AS (
       SELECT star_bucket, id, embedding::DOUBLE[] AS v, row_number() OVER (PARTITION BY star_bucket ORDER BY id) AS r
-      FROM cleaned JOIN vectors USING (id)), f AS (SELECT * FROM s WHERE r <= 20)
+      FROM cleaned JOIN vectors USING (id)), f AS (SELECT * FROM s WHERE star_bucket IN (SELECT star_bucket FROM s GROUP BY 1 HAVING count(*) >= 5))
     SELECT a.star_bucket AS "left", b.star_bucket AS "right", round(avg(list_cosine_similarity(a.v, b.v)), 6) AS mean_cosine
     FROM f a JOIN f b ON a.star_bucket <= b.star_bucket GROUP BY ALL""")
 def d14(t):

@@ -12,20 +12,8 @@ from echofield.plans.views import (
     CLEANED, LEGAL_HERE, MONEY_HERE, PAIR_HERE, REVIEWS, SCORED, clean_sql, word_pattern,
 )
 
-# RE2 has no back-references, so the SQL twin shortens runs one character at a time.
-_RUN_CHARS = list("abcdefghijklmnopqrstuvwxyz0123456789_.,!?-éóèñçüêäöíß") + ["''"]
-
-
-def _squeeze() -> str:
-    s = "{0}"
-    for ch in _RUN_CHARS:
-        pat = "\\." if ch == "." else "\\?" if ch == "?" else ch
-        s = f"regexp_replace({s}, '{pat}{{{{4,}}}}', '{ch}{ch}', 'g')"
-    return s
-
-
 def _clean(c: str) -> str:
-    return clean_sql(c, _squeeze())
+    return clean_sql(c)
 
 
 @query("h1_clean_text", f"SELECT doc_id, {_clean('text')} AS cleaned FROM documents")
@@ -66,10 +54,10 @@ def h3(t):
 _HINGLISH = "[" + ", ".join(f"'{w}'" for w in fixed.HINGLISH_WORDS) + "]"
 
 
-@query("h4_hinglish_flag", f"""WITH {CLEANED} SELECT id, lang = 'en' AND len(list_intersect(list_distinct(string_split(cleaned_content, ' ')), {_HINGLISH})) >= 2
-    AS is_hinglish FROM cleaned""")
+@query("h4_hinglish_flag", f"""WITH {CLEANED}, {_DETECT.format(c='cleaned_content', src='cleaned')} SELECT id, detected_lang = 'en' AND len(list_intersect(list_distinct(string_split(cleaned_content, ' ')), {_HINGLISH})) >= 2
+    AS is_hinglish FROM detected""")
 def h4(t):
-    return t.cleaned.select("id", tx.is_hinglish(F.col("cleaned_content"), F.col("lang")).alias("is_hinglish"))
+    return t.cleaned.select("id", tx.is_hinglish(F.col("cleaned_content"), tx.detect_language(F.col("cleaned_content"))).alias("is_hinglish"))
 
 
 @query("h5_star_bucket", f"WITH {CLEANED} SELECT id, score, star_bucket FROM cleaned")

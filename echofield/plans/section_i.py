@@ -9,7 +9,7 @@ from echofield.plans.views import SCORED, VECTORS
 from echofield.sources import tables as src
 
 _TOK = r"regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]{2,}')"
-MAX_FEATURES = 800
+MAX_FEATURES = 5000
 
 
 def tfidf_sql(src_name: str = "documents", fit: str = "documents", low: int = 1, min_df: int = 3, max_features: int = MAX_FEATURES) -> str:

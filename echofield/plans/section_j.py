@@ -39,14 +39,14 @@ def j2(t):
 @query("j3_kmeans")
 def j3(t):
     e = t("embeddings")
-    model = clusters.kmeans(e, "embedding", 8, restarts=3)
+    model = clusters.kmeans(e, "embedding", 8, restarts=20)
     return clusters.assign(e, model, "embedding").select("vec_id", "kmeans_cluster")
 
 
 @query("j4_choose_k")
 def j4(t):
     c, _ = coords.principal_components(t("embeddings"), "embedding", 10)
-    return clusters.choose_k(durable(c.select("pca")), "pca", range(3, 13), restarts=1)
+    return clusters.choose_k(durable(c.select("pca")), "pca", range(3, 13), restarts=20)
 
 
 @query("j4_silhouette_sample", """WITH s AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings ORDER BY md5(vec_id || '|42'), vec_id LIMIT 400),

@@ -62,7 +62,7 @@ class Tables:
     @cached_property
     def cleaned(self) -> DataFrame:
         """Reviews plus the text and calendar features."""
-        c = self.reviews.withColumn("cleaned_content", tx.clean_text(F.col("content"), squeeze=False))
+        c = self.reviews.withColumn("cleaned_content", tx.clean_text(F.col("content")))
         return c.select(
             "*",
             tx.word_count(F.col("cleaned_content")).alias("review_length"),
@@ -132,20 +132,43 @@ REVIEWS = """reviews AS (
     ON e.event_id = d.doc_id)"""
 
 
-def clean_sql(c: str, squeeze: str = "") -> str:
-    """SQL form of the cleaning rule; ``squeeze`` wraps the run-shortening step when given."""
+# RE2 has no back-references, so the SQL twin shortens runs one character at a time.
+_RUN_CHARS = list("abcdefghijklmnopqrstuvwxyz0123456789_.,!?-éóèñçüêäöíßàâîïôùûáúœæ") + ["''"]
+
+
+def _run(ch: str) -> str:
+    return ("\\" + ch if ch in ".?" else ch) + "{4,}"
+
+
+def squeeze_sql(s: str) -> str:
+    for ch in _RUN_CHARS:
+        s = f"regexp_replace({s}, '{_run(ch)}', '{ch}{ch}', 'g')"
+    return s
+
+
+def plain_sql(c: str) -> str:
+    """SQL form of the cleaning rule before runs are shortened."""
     ws = WS[1:-1]
     s = f"lower(coalesce({c}, ''))"
     s = rf"regexp_replace({s}, 'http[^{ws}]+|www[^{ws}]+', ' ', 'g')"
     s = rf"regexp_replace({s}, '<[^>]+>', ' ', 'g')"
     s = rf"regexp_replace({s}, '[^\p{{L}}\p{{N}}_{ws}\x{{0900}}-\x{{097F}}.,!?''-]', ' ', 'g')"
-    if squeeze:
-        s = squeeze.format(s)
+    return s
+
+
+def tidy_sql(s: str) -> str:
     return f"trim(regexp_replace({s}, '{WS}+', ' ', 'g'))"
 
 
+def clean_sql(c: str) -> str:
+    """SQL form of the whole cleaning rule."""
+    return tidy_sql(squeeze_sql(plain_sql(c)))
+
+
+_ANY_RUN = "|".join(map(_run, _RUN_CHARS))
 CLEANED = REVIEWS + """,
-cleaned0 AS (SELECT *, """ + clean_sql("content") + """ AS cleaned_content FROM reviews),
+plain0 AS (SELECT *, """ + plain_sql("content") + """ AS _p FROM reviews),
+cleaned0 AS (SELECT * EXCLUDE (_p), """ + tidy_sql(f"CASE WHEN regexp_matches(_p, '{_ANY_RUN}') THEN {squeeze_sql('_p')} ELSE _p END") + """ AS cleaned_content FROM plain0),
 cleaned AS (
   SELECT *,
     CAST(CASE WHEN cleaned_content = '' THEN 0 ELSE len(string_split(cleaned_content, ' ')) END AS INTEGER)

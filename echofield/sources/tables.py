@@ -108,9 +108,16 @@ def ingest(raw: DataFrame, newest: int = 500, at: str = "at", key: str = "review
 
 
 def fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Order-free content signature: rows, sum and xor of per-row hashes. One pass, partial sums."""
-    cols = columns or df.columns
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in cols])
+    """Order-free content signature: rows, sum and xor of per-row hashes. One pass, partial sums.
+
+    Names and values go in with their lengths, so no two different rows read the same.
+    """
+
+    def part(c: str):
+        v = F.col(f"`{c}`").cast("string")
+        return F.concat(F.lit(f"{len(c)}:{c}="), F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("~")))
+
+    text = F.concat_ws("|", *[part(c) for c in columns or df.columns])
     h = F.md5(text)
     number = lambda a, n: F.conv(F.substring(h, a, n), 16, 10).cast("long")
     return df.agg(
