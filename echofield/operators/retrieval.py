@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,6 +20,7 @@ from echofield.functions import text as tx
 from echofield.functions import vectors as vx
 from echofield.operators import combine, joins, pick
 from echofield.operators.profile import rows_n
+from echofield.sources.tables import written
 
 # --- lexical -----------------------------------------------------------------------------------
 
@@ -28,18 +29,31 @@ from echofield.operators.profile import rows_n
 class LexicalIndex:
     """postings (doc_id, dl, term, tf), terms (term, df, idf) and stats (one row: n, avgdl).
 
-    Built once and written as tables in production; each part is an ordinary DataFrame.
+    ``write`` stores the parts as Parquet and ``read_index`` opens them again, in another session too.
     """
 
     postings: DataFrame
     terms: DataFrame
     stats: DataFrame
 
+    def write(self, folder: str) -> LexicalIndex:
+        self.postings.write.parquet(f"{folder}/postings")
+        self.terms.write.parquet(f"{folder}/terms")
+        self.stats.write.parquet(f"{folder}/stats")
+        return read_index(self.postings.sparkSession, folder)
 
-def lexical_index(docs: DataFrame, text: str = "text") -> LexicalIndex:
+
+def read_index(spark: SparkSession, folder: str) -> LexicalIndex:
+    return LexicalIndex(*[spark.read.parquet(f"{folder}/{part}") for part in ("postings", "terms", "stats")])
+
+
+def lexical_index(docs: DataFrame, text: str = "text", stored: bool = False) -> LexicalIndex:
+    """``stored`` writes the counted tokens first, so that the corpus is tokenised once for all parts and all uses."""
     tokens = docs.select("doc_id", tx.search_tokens(F.coalesce(F.col(text), F.lit(""))).alias("_t"))
-    sized = tokens.withColumn("dl", F.size("_t"))
-    postings = sized.select("doc_id", "dl", F.inline(tx.counted(F.col("_t"))))
+    sized = tokens.select("doc_id", F.size("_t").alias("dl"), tx.counted(F.col("_t")).alias("_c"))
+    if stored:
+        sized = written(sized, "lexical-index")
+    postings = sized.select("doc_id", "dl", F.inline("_c"))
     stats = sized.agg(rows_n().alias("n"), F.avg("dl").alias("avgdl"))
     terms = postings.groupBy("term").agg(rows_n().alias("df")).withColumn("_n", stats.select("n").scalar())
     terms = terms.withColumn("_idf", F.log(F.col("_n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
@@ -74,28 +88,52 @@ def lexical_scores(queries: DataFrame, index: LexicalIndex) -> DataFrame:
     return m.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
 
 
-def lexical_topn(queries: DataFrame, index: LexicalIndex, n: int = fixed.SHORTLIST, allowed: DataFrame | None = None):
-    """The n best documents per question with a positive score. ``allowed`` (query_id, doc_id) masks first."""
+def lexical_topn(
+    queries: DataFrame, index: LexicalIndex, n: int = fixed.SHORTLIST, filters: DataFrame | None = None, docs: DataFrame | None = None
+) -> DataFrame:
+    """The n best documents per question with a positive score. ``filters`` masks the columns of ``docs`` first."""
     s = lexical_scores(queries, index).filter(F.col("score") > 0)
-    if allowed is not None:
-        s = s.join(allowed, ["query_id", "doc_id"], "left_semi")
+    if filters is not None:
+        s = only_allowed(s, docs, filters)
     return pick.top_per_group(s, "query_id", "score", "doc_id", n)
 
 
+def only_allowed(pairs: DataFrame, docs: DataFrame, filters: DataFrame) -> DataFrame:
+    """The (query_id, doc_id) rows that pass the filter table (query_id, column, value).
+
+    A document passes a question's column if its value is one of those listed; columns that a question does not list are
+    free. The columns of ``docs`` beside doc_id can be listed.
+    """
+    columns = [c for c in docs.columns if c != "doc_id"]
+    lists = filters.groupBy("query_id").pivot("column", columns).agg(F.collect_set("value"))
+    lists = lists.select("query_id", *[F.col(c).alias(f"_only_{c}") for c in columns])
+    named = docs.select("doc_id", *[F.col(c).cast("string").alias(f"_is_{c}") for c in columns])
+    met = pairs.join(named, "doc_id").join(lists, "query_id", "left")
+    # pivot gives an empty list where a question has other columns only, and null where it has no filter
+    free = lambda c: F.coalesce(F.size(f"_only_{c}"), F.lit(0)) == 0
+    for c in columns:
+        met = met.filter(free(c) | F.coalesce(F.array_contains(f"_only_{c}", F.col(f"_is_{c}")), F.lit(False)))
+    return met.select(*pairs.columns)
+
+
 # --- dense -------------------------------------------------------------------------------------
 
 QUERY_BLOCK_BYTES = 64 << 20
+#: Similarities that a task holds at once (8 bytes each).
+PAIRS_AT_ONCE = 4 << 20
 
 
 def dense_topn(
-    queries: DataFrame, corpus: DataFrame, n: int = fixed.SHORTLIST, filters: dict | None = None, block_bytes=QUERY_BLOCK_BYTES
+    queries: DataFrame, corpus: DataFrame, n: int = fixed.SHORTLIST, filters: DataFrame | None = None, block_bytes=QUERY_BLOCK_BYTES,
+    pairs_at_once: int = PAIRS_AT_ONCE,
 ) -> DataFrame:
     """Exact cosine top-n: queries (query_id, embedding) against corpus (doc_id, embedding, …).
 
-    The question vectors travel to the tasks as one matrix of at most ``block_bytes``; more questions are
-    handled in further passes. A task keeps only its n best per question, so pairs are never materialised:
-    the shuffle carries tasks x questions x n rows. ``filters`` maps query_id to {corpus column: allowed
-    values}; excluded rows are masked before ranking.
+    The question vectors travel to the tasks as one matrix of at most ``block_bytes``; more questions are handled in
+    further passes, one after the other, each written before the next is read, so the driver holds one block. A task
+    holds ``pairs_at_once`` similarities and keeps only its n best per question: the shuffle carries tasks x questions x
+    n rows. ``filters`` (query_id, column, value) lists the values that a column of the corpus may have for a question;
+    other rows are masked before ranking.
     """
     width = queries.select(F.size("embedding")).first()
     if width is None:
@@ -104,42 +142,58 @@ def dense_topn(
     blocks = max(1, -(-n_queries * int(width[0]) * 8 // block_bytes))
     parts = []
     for b in range(blocks):
-        q = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)
-        parts.append(_dense_block(q, corpus, n, filters or {}))
+        mine = lambda d: d if blocks == 1 else d.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b)  # noqa: B023, E731
+        part = _dense_block(mine(queries), corpus, n, None if filters is None else mine(filters), pairs_at_once)
+        parts.append(part if blocks == 1 else written(part, "dense-block"))
     return pick.top_per_group(combine.union_all(parts), "query_id", "score", "doc_id", n)
 
 
-def _dense_block(queries: DataFrame, corpus: DataFrame, n: int, filters: dict) -> DataFrame:
+def _dense_block(queries: DataFrame, corpus: DataFrame, n: int, filters: DataFrame | None, pairs_at_once: int) -> DataFrame:
     rows = queries.select("query_id", vx.unit(F.col("embedding")).alias("u")).toPandas()  # bounded by block_bytes
     ids = rows["query_id"].to_numpy()
     matrix = np.vstack(rows["u"].to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, 1))
-    columns = sorted({c for f in filters.values() for c in f})
+    place = {q: i for i, q in enumerate(ids)}
+    only: dict[str, dict[int, set]] = {}
+    for r in [] if filters is None else filters.join(queries.select("query_id"), "query_id", "left_semi").toPandas().itertuples():
+        only.setdefault(r.column, {}).setdefault(place[r.query_id], set()).add(str(r.value))
+    columns = sorted(only)
+
+    def allowed(part: pd.DataFrame) -> np.ndarray:
+        """documents x questions."""
+        out = np.ones((len(part), len(ids)), bool)
+        for c in columns:
+            codes, values = pd.factorize(part[c], use_na_sentinel=True)
+            may = np.ones((len(values) + 1, len(ids)), bool)
+            for j, listed in only[c].items():
+                may[:, j] = [str(v) in listed for v in values] + [False]
+            out &= may[codes]
+        return out
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best_s = [np.empty(0)] * len(ids)
-        best_d = [np.empty(0, dtype=np.int64)] * len(ids)
+        q, s, d = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+        floor = np.full(len(ids), -np.inf)
+        step = max(1, pairs_at_once // max(1, len(ids)))
         for pdf in batches:
-            if not len(pdf) or not len(ids):
-                continue
-            docs = pdf["doc_id"].to_numpy()
-            v = np.vstack(pdf["embedding"].to_numpy()).astype(np.float64)
-            norms = np.linalg.norm(v, axis=1, keepdims=True)
-            sims = np.round((v / np.where(norms > 0, norms, 1.0)) @ matrix.T, 6)
-            for j, qid in enumerate(ids):
-                s, d = sims[:, j], docs
-                if filters.get(qid):
-                    keep = np.logical_and.reduce([pdf[c].isin(list(v)).to_numpy() for c, v in filters[qid].items()])
-                    s, d = s[keep], d[keep]
-                s, d = np.concatenate([best_s[j], s]), np.concatenate([best_d[j], d])
-                if len(s) > n:
-                    near = s >= np.partition(s, len(s) - n)[len(s) - n]
-                    s, d = s[near], d[near]
-                    order = np.lexsort((d, -s))[:n]
-                    s, d = s[order], d[order]
-                best_s[j], best_d[j] = s, d
-        for j, qid in enumerate(ids):
-            if len(best_s[j]):
-                yield pd.DataFrame({"query_id": qid, "doc_id": best_d[j], "score": best_s[j]})
+            for at in range(0, len(pdf) if len(ids) else 0, step):
+                part = pdf.iloc[at : at + step]
+                v = np.vstack(part["embedding"].to_numpy()).astype(np.float64)
+                norms = np.linalg.norm(v, axis=1, keepdims=True)
+                sims = np.round((v / np.where(norms > 0, norms, 1.0)) @ matrix.T, 6)
+                good = sims >= floor
+                if columns:
+                    good &= allowed(part)
+                row, col = np.nonzero(good)
+                q, s, d = np.append(q, col), np.append(s, sims[row, col]), np.append(d, part["doc_id"].to_numpy()[row])
+                order = np.lexsort((d, -s, q))
+                q, s, d = q[order], s[order], d[order]
+                first = np.searchsorted(q, np.arange(len(ids)))
+                inside = np.arange(len(q)) - first[q]
+                last = inside == n - 1
+                floor[q[last]] = s[last]
+                keep = inside < n
+                q, s, d = q[keep], s[keep], d[keep]
+        if len(q):
+            yield pd.DataFrame({"query_id": ids[q], "doc_id": d, "score": s})
 
     return corpus.select("doc_id", "embedding", *columns).mapInPandas(score, "query_id long, doc_id long, score double")
 
@@ -184,19 +238,26 @@ def rescore(shortlist: DataFrame, queries: DataFrame, docs: DataFrame, dense: Da
 
 def search(
     queries: DataFrame, docs: DataFrame, query_vectors: DataFrame, doc_vectors: DataFrame, k: int = fixed.ANSWER_K,
-    variant: str = "hybrid", index: LexicalIndex | None = None, scorer=native_scorer, allowed: DataFrame | None = None,
-    filters: dict | None = None, text: str = "text",
+    variant: str = "hybrid", index: LexicalIndex | None = None, scorer=native_scorer, filters: DataFrame | None = None,
+    facts: DataFrame | None = None, text: str = "text", dense: DataFrame | None = None,
 ) -> DataFrame:
     """Top-k (query_id, doc_id, score, rank) for a variant; the score is the cosine where the dense side saw the row.
 
-    ``scorer=None`` makes ``rerank`` fall back to ``hybrid``.
+    ``filters`` (query_id, column, value) over the columns of ``facts`` (doc_id, …) holds for both sides before
+    anything is ranked. ``scorer=None`` makes ``rerank`` fall back to ``hybrid``. ``index`` and ``dense`` (the shortlist of
+    the same questions under the same filters) can be handed in, so that several variants share them.
     """
     if variant not in fixed.VARIANTS:
         raise ValueError(f"variant must be one of {fixed.VARIANTS}")
+    if (filters is None) != (facts is None):
+        raise ValueError("filters need facts, the table of the columns that they name")
+    if dense is None:
+        vectors = doc_vectors if facts is None else doc_vectors.join(facts, "doc_id")
+        dense = dense_topn(query_vectors, vectors, max(k, fixed.SHORTLIST), filters)
     if variant == "dense":
-        return dense_topn(query_vectors, doc_vectors, k, filters)
-    dense = dense_topn(query_vectors, doc_vectors, fixed.SHORTLIST, filters)
-    lexical = lexical_topn(queries, index or lexical_index(docs, text), fixed.SHORTLIST, allowed)
+        return dense.filter(F.col("rank") <= k)
+    dense = dense.filter(F.col("rank") <= fixed.SHORTLIST)
+    lexical = lexical_topn(queries, index or lexical_index(docs, text), fixed.SHORTLIST, filters, facts)
     order = fuse([dense, lexical])
     cos = dense.select("query_id", "doc_id", "score")
     if variant == "rerank" and scorer is not None:

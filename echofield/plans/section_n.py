@@ -8,6 +8,7 @@ from echofield.operators import combine, joins, profile
 from echofield.operators import retrieval as rt
 from echofield.plans.registry import query
 from echofield.plans.views import SCORED, VECTORS
+from echofield.sources.tables import written
 
 _TOKENS = r"regexp_extract_all(lower(text), '[a-z0-9]+|[\x{0900}-\x{097F}]+')"
 
@@ -43,7 +44,7 @@ RERANK = HYBRID + f""", qtok AS (SELECT item_id AS query_id, {_TOKENS} AS q FROM
 
 TRUTH = """questions AS (SELECT item_id AS query_id, item_id % 10 = 9 AS unanswerable FROM benchmark),
     judged AS (SELECT q.item_id AS query_id, v.id AS doc_id FROM benchmark q JOIN embeddings e ON e.vec_id = q.item_id JOIN vectors v ON v.label = e.label
-      WHERE q.item_id % 3 = 0 AND v.id % 4 = 0),
+      WHERE q.item_id % 3 = 0 AND v.id % 4 = 0 AND q.item_id = v.id // 4 % (SELECT count(*) FROM benchmark)),
     keyword AS (SELECT item_id AS query_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)),
     truth AS (SELECT query_id, doc_id, 'judged' AS mode FROM judged
       UNION ALL SELECT query_id, doc_id, 'keyword' FROM keyword JOIN questions USING (query_id) WHERE NOT unanswerable AND query_id NOT IN (SELECT query_id FROM judged))"""
@@ -71,7 +72,21 @@ def _lexical(t, n=fixed.SHORTLIST):
 
 
 def _search(t, variant, k=fixed.ANSWER_K):
-    return rt.search(t.queries, _docs(t), _query_vectors(t), _doc_vectors(t), k, variant)
+    """Variants of one query share the stored index and the stored dense shortlist."""
+    if "search_parts" not in t.__dict__:
+        t.search_parts = rt.lexical_index(_docs(t), stored=True), written(_dense(t), "dense")
+    index, dense = t.search_parts
+    return rt.search(t.queries, _docs(t), _query_vectors(t), _doc_vectors(t), k, variant, index=index, dense=dense)
+
+
+def _filters(t):
+    """Every second question asks for two sources and one language."""
+    asked = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(v).alias("value")) for c, v in (("source", "src1"), ("source", "src2"), ("lang", "en"))]))
+    return t.queries.filter("query_id % 2 = 0").select("query_id", asked.alias("f")).select("query_id", "f.*")
+
+
+def _facts(t):
+    return t("documents").select("doc_id", "source", "lang")
 
 
 @query("n1_dense_topn", f"WITH {DENSE} SELECT query_id, doc_id, score, rank FROM dense")
@@ -84,9 +99,7 @@ def n1(t):
     SELECT query_id, doc_id, score, rank FROM f WHERE rank <= 8""")
 def n1_filtered(t):
     corpus = _doc_vectors(t).join(t("documents").select("doc_id", "source", "lang"), "doc_id")
-    ids = [r.query_id for r in t.queries.select("query_id").toLocalIterator()]  # the question set
-    filters = {q: {"source": ["src1", "src2"], "lang": ["en"]} for q in ids if q % 2 == 0}
-    return rt.dense_topn(_query_vectors(t), corpus, 8, filters)
+    return rt.dense_topn(_query_vectors(t), corpus, 8, _filters(t))
 
 
 @query("c11_all_pairs_topn", """WITH q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS qe FROM embeddings WHERE vec_id % 10 = 0),
@@ -126,6 +139,27 @@ def n5(t):
     return _search(t, "hybrid")
 
 
+# Both sides under the same filters: every second question takes two sources and one language only.
+FILTERED = (
+    RERANK.replace("FROM qv, vectors)", "FROM qv, vectors JOIN documents ON doc_id = id WHERE query_id % 2 = 1 OR (source IN ('src1', 'src2') AND lang = 'en'))")
+    .replace("FROM bm25 WHERE score > 0)", "FROM bm25 JOIN documents USING (doc_id) WHERE score > 0 AND (query_id % 2 = 1 OR (source IN ('src1', 'src2') AND lang = 'en')))")
+)
+
+
+def _filtered(t, variant):
+    return rt.search(t.queries, _docs(t), _query_vectors(t), _doc_vectors(t), fixed.ANSWER_K, variant, filters=_filters(t), facts=_facts(t))
+
+
+@query("n5_hybrid_filtered", f"WITH {FILTERED} SELECT query_id, doc_id, score, rank FROM hybrid WHERE rank <= 8")
+def n5_filtered(t):
+    return _filtered(t, "hybrid")
+
+
+@query("n6_rerank_filtered", f"WITH {FILTERED} SELECT query_id, doc_id, score, rank FROM rerank WHERE rank <= 8")
+def n6_filtered(t):
+    return _filtered(t, "rerank")
+
+
 @query("n6_rerank_search", f"WITH {RERANK} SELECT query_id, doc_id, score, rank FROM rerank WHERE rank <= 8")
 def n6(t):
     return _search(t, "rerank")
@@ -171,10 +205,12 @@ def _questions(t):
 
 
 def _judged(t):
+    """Every fourth document has been shown to one question; it is relevant if both have the same label."""
     labels = t("embeddings").select(F.col("vec_id").alias("query_id"), "label").filter(F.col("query_id") % 3 == 0)
     q = t.queries.select("query_id").join(labels, "query_id")
-    docs = t.vectors.filter(F.col("id") % 4 == 0).select(F.col("id").alias("doc_id"), "label")
-    return joins.bounded_join(docs, q, ["label"], "doc_id").select("query_id", "doc_id")
+    shown = F.floor(F.col("id") / 4) % t.queries.agg(F.count(F.lit(1))).scalar()
+    docs = t.vectors.filter(F.col("id") % 4 == 0).select(F.col("id").alias("doc_id"), "label", shown.alias("query_id"))
+    return docs.join(q, ["query_id", "label"]).select("query_id", "doc_id")
 
 
 def _keyword(t):
