@@ -1,9 +1,10 @@
 """Global order without a single-partition window.
 
-A table is cut into value ranges at approximate quantiles (a few dozen numbers, fixed before the plan is
-built, so a re-run task sees the same ranges). Equal values are pre-aggregated, so a value that a third of
-the rows share is one row. Ranks inside a range come from a window over that range; range offsets come from
-a table of (groups x ranges) rows. Results are exact whatever the cut points are.
+Equal values are pre-aggregated, so a value that a third of the rows share is one row. The rows are then
+range-partitioned by group and value over as many partitions as the session shuffles to, which grows with the
+cluster and cuts a hot group at its own values, and written once, so that every later use sees the same ranges.
+Ranks inside a range come from a window over that range; range offsets come from a table of one row for each
+group and range. Results are exact wherever the cuts fall.
 """
 
 from __future__ import annotations
@@ -12,34 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-RANGES = 64
-
-
-def _range_of(c: Column, cuts: list[float]) -> Column:
-    """Index of the range holding the value: a balanced tree of comparisons, compiled with the stage."""
-
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c <= cuts[mid], node(lo, mid)).otherwise(node(mid + 1, hi))
-
-    return node(0, len(cuts))
+from echofield.sources.tables import written
 
 
 def running_totals(
-    df: DataFrame, key: str, sums: dict[str, Column], groups: list[str] | None = None,
-    descending: bool = False, ranges: int = RANGES,
+    df: DataFrame, key: str, sums: dict[str, Column], groups: list[str] | None = None, descending: bool = False
 ) -> DataFrame:
     """One row per (groups, key): each sum at the key, and ``run_<name>`` up to and including the key.
 
     ``groups`` must not be null. Rows with a null key are dropped.
     """
     groups = list(groups or [])
-    df = df.filter(F.col(key).isNotNull())
-    cuts = sorted(set(df.approxQuantile(key, [i / ranges for i in range(1, ranges)], 0.001) or []))
-    at_key = df.groupBy(*groups, key).agg(*[e.alias(n) for n, e in sums.items()])
-    at_key = at_key.withColumn("_range", _range_of(F.col(key), cuts))
+    at_key = df.filter(F.col(key).isNotNull()).groupBy(*groups, key).agg(*[e.alias(n) for n, e in sums.items()])
+    at_key = written(at_key.repartitionByRange(*groups, key).withColumn("_range", F.spark_partition_id()), "ranges")
     by_range = at_key.groupBy(*groups, "_range").agg(*[F.sum(n).alias(n) for n in sums])
     r_order = F.desc("_range") if descending else F.asc("_range")
     before = W.partitionBy(*groups).orderBy(r_order).rowsBetween(W.unboundedPreceding, -1)
@@ -54,9 +40,9 @@ def running_totals(
     )
 
 
-def dense_ids(df: DataFrame, key: str, name: str = "row_id", ranges: int = RANGES) -> DataFrame:
+def dense_ids(df: DataFrame, key: str, name: str = "row_id") -> DataFrame:
     """0, 1, 2, ... in ``key`` order; ``key`` must be a unique number. No global window."""
-    pos = running_totals(df.select(key), key, {"n": F.count(F.lit(1))}, ranges=ranges)
+    pos = running_totals(df.select(key), key, {"n": F.count(F.lit(1))})
     return df.join(pos.select(key, (F.col("run_n") - 1).alias(name)), key)
 
 
