@@ -92,19 +92,21 @@ def a11(t):
     return src.id_map(t.scored)
 
 
-_LOG = """log AS (SELECT event_type AS task, 'model-' || user_id AS model, value AS primary_metric, event_id AS run_ts FROM events),
+_LOG = """log AS (SELECT event_type AS task, 'model-' || user_id AS model, value AS primary_metric, event_id AS run_ts, '{"source":"' || event_type || '"}' AS extra FROM events),
     latest AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY task ORDER BY run_ts DESC, model DESC) = 1)"""
 
 
 @query("a12_model_registry", f"""WITH {_LOG} SELECT * FROM latest WHERE task <> 'click'
-    UNION ALL SELECT 'click', 'model-new', 1.0::DOUBLE, 9223372036854775807""")
+    UNION ALL SELECT 'click', 'model-new', 1.0::DOUBLE, 9223372036854775807, '{{}}'""")
 def a12(t):
     log = t("events").select(
         F.col("event_type").alias("task"), F.concat(F.lit("model-"), F.col("user_id").cast("string")).alias("model"),
         F.col("value").alias("primary_metric"), F.col("event_id").alias("run_ts"),
+        F.to_json(F.create_map(F.lit("source"), F.col("event_type"))).alias("extra"),
     )
     latest = src.latest_models(log)
     new = latest.filter(F.col("task") == "click").select(
-        "task", F.lit("model-new").alias("model"), F.lit(1.0).alias("primary_metric"), F.lit(9223372036854775807).alias("run_ts")
+        "task", F.lit("model-new").alias("model"), F.lit(1.0).alias("primary_metric"), F.lit(9223372036854775807).alias("run_ts"),
+        F.lit("{}").alias("extra"),
     )
     return src.upsert_models(latest, new)

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BYTE_ORDER_MARK = "\ufeff"
 REVIEW_SCHEMA = T.StructType(
     [
         T.StructField("review_id", T.StringType()),
@@ -64,11 +65,14 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV by header name; a byte-order mark on the first name is ignored; quoted line breaks are kept."""
     raw = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', inferSchema=False)
-    first = raw.columns[0].lstrip("﻿").strip('"')
+    first = raw.columns[0].lstrip(BYTE_ORDER_MARK).strip('"')
     return typed(raw.toDF(first, *raw.columns[1:]), schema)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, mark: bool = True) -> None:
+    """CSV with a header; ``mark`` puts a byte-order mark before it, as spreadsheets want it."""
+    if mark and df.columns:
+        df = df.toDF(BYTE_ORDER_MARK + df.columns[0], *df.columns[1:])
     df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
 
 
@@ -177,8 +181,8 @@ def id_map(df: DataFrame) -> DataFrame:
 
 
 def latest_models(log: DataFrame) -> DataFrame:
-    """Newest entry per task of an append-only registry (partial max per task; no window)."""
-    rest = F.struct("model", "primary_metric", "run_ts")
+    """Newest entry per task of an append-only registry (partial max per task; no window); other columns come along."""
+    rest = F.struct(*[c for c in log.columns if c != "task"])
     return log.groupBy("task").agg(F.max_by(rest, F.struct("run_ts", "model")).alias("m")).select("task", "m.*")
 
 
