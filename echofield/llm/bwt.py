@@ -37,7 +37,7 @@ LONGEST_RUN = 256
 BLOCK_BYTES = 4 << 20
 HOT_STRINGS = 2_000
 SHARDS = 4
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 #: log2 of the bits of the table of repeated names: sixteen for each, 16 MB at most.
 MOST_BITS = 27
 NONE = np.uint64(2**64 - 1)
@@ -92,45 +92,53 @@ def text_runs(b: np.ndarray, length: int = LENGTH):
         yield s + at, n, m, own
 
 
-def _words(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """For each suffix, its first eight bytes as a number; bytes past the end of its string count as 0."""
-    padded = np.concatenate([text, np.zeros(WORD_BYTES, np.uint8)])
-    left = ends - np.arange(len(text))
-    w = np.zeros(len(text), np.uint64)
-    for k in range(WORD_BYTES):
-        w = (w << np.uint64(8)) | np.where(left > k, padded[k : k + len(text)], 0).astype(np.uint64)
-    return w
+def _order(key: np.ndarray) -> np.ndarray:
+    """Places that sort whole numbers stably. Numbers and places share 63 bits where they fit: values sort faster than places."""
+    n = len(key)
+    place = max(1, int(n).bit_length())
+    if n and int(key.max()).bit_length() + place <= 63:
+        return np.sort(key.astype(np.int64) << place | np.arange(n)) & ((1 << place) - 1)
+    return np.argsort(key, kind="stable")
 
 
 def _dense(key: np.ndarray) -> np.ndarray:
     """Ranks of values, equal ones alike."""
-    order = np.argsort(key, kind="stable")
+    order = _order(key)
     s = key[order]
     out = np.empty(len(key), np.int64)
     out[order] = np.cumsum(np.append(0, s[1:] != s[:-1]))
     return out
 
 
+def _words(strings: list[bytes]) -> np.ndarray:
+    """For each suffix of each string, the empty one included, the rank of its first eight bytes; short ones end in zeros."""
+    sizes = np.array([len(s) + 1 for s in strings])
+    text = np.frombuffer(b"".join(s + b"\0" for s in strings) + bytes(WORD_BYTES), np.uint8)
+    n = len(text) - WORD_BYTES
+    words = np.ndarray((n,), ">u8", text.data, 0, (1,)).astype(np.uint64)
+    left = np.repeat(np.cumsum(sizes), sizes) - 1 - np.arange(n)
+    short = np.flatnonzero(left < WORD_BYTES)
+    words[short] &= ~(NONE >> (np.uint64(8) * left[short].astype(np.uint64)))
+    return np.unique(words, return_inverse=True)[1]
+
+
 class Shard:
-    """Suffix order, transform and LF map of a list of strings, each at least ``WORD_BYTES`` long."""
+    """Suffix order, transform and LF map of a list of strings, each at least ``WORD_BYTES`` long, and their words."""
 
-    def __init__(self, strings: list[bytes], depth: int = LENGTH):
+    def __init__(self, strings: list[bytes], words: np.ndarray, depth: int = LENGTH):
         # Each string is followed by a place for its empty suffix.
-        self.text = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8)
         sizes = np.array([len(s) + 1 for s in strings])
         self.start = np.cumsum(sizes) - sizes
-        self.owner = np.repeat(np.arange(len(strings)), sizes)
         ends = np.repeat(self.start + sizes - 1, sizes)
-        words = _words(self.text, ends)
-        n = len(self.text)
+        n = len(words)
         rank, reach = _dense(words), WORD_BYTES
-        while reach < depth:
-            # Suffixes that end within the reach are told apart by what is left of them and their place.
+        while reach < depth and rank.max() < n - 1:
+            # Suffixes that end within the reach are told apart by what is left of them.
             at = np.arange(n) + reach
             after = np.where(at < ends, rank[np.minimum(at, n - 1)] + 1, 0)
             rank = _dense(rank * (n + 2) + after)
             reach *= 2
-        self.order = np.argsort(rank, kind="stable")
+        self.order = _order(rank)
         offset = np.arange(n) - np.repeat(self.start, sizes)
         before = np.where(offset >= WORD_BYTES, np.arange(n) - WORD_BYTES, ends + 1 - WORD_BYTES + offset)
         place = np.empty(n, np.int64)
@@ -141,48 +149,45 @@ class Shard:
         self.inner = (offset >= WORD_BYTES)[self.order]
 
 
-def merge(shards: list[Shard], depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Interleave refinement over all shards: the interleave (shard numbers) and the blocks of suffixes that share
-    ``depth`` bytes with another one, and the places of these suffixes in each shard."""
-    active = [np.arange(len(s.order)) for s in shards]
-    z = np.repeat(np.arange(len(shards), dtype=np.int16), [len(a) for a in active])
-    block = np.zeros(len(z), np.int64)
+def merge(shards: list[Shard], depth: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Interleave refinement over all shards: the interleave of the suffixes that share ``depth`` bytes with another
+    one, and their blocks. A suffix is given by its place in its shard plus the length of the shards before it."""
+    shift = np.cumsum([0, *[len(s.order) for s in shards]])
+    transform = np.concatenate([np.where(s.inner, s.transform, -1) for s in shards]).astype(np.int32)
+    lf = np.concatenate([s.lf + k for s, k in zip(shards, shift)]).astype(np.int32)
+    rows = np.arange(shift[-1], dtype=np.int32)
+    block = np.zeros(len(rows), np.int32)
     for _ in range(depth // WORD_BYTES):
-        word, inner = np.empty(len(z), np.uint64), np.empty(len(z), bool)
-        for k, s in enumerate(shards):
-            mine = z == k
-            word[mine], inner[mine] = s.transform[active[k]], s.inner[active[k]]
-        # Suffixes that begin before their string are none: the words wrap round to its end.
-        for k, s in enumerate(shards):
-            active[k] = active[k][inner[z == k]]
-        z, block, word = z[inner], block[inner], word[inner]
-        order = np.argsort(word, kind="stable")
-        z, block, word = z[order], block[order], word[order]
+        word = transform[rows]
+        # The first suffixes of a string have no word before them inside it.
+        inner = word >= 0
+        rows, block, word = lf[rows[inner]], block[inner], word[inner]
+        if not len(rows):
+            break
+        order = _order(word)
+        rows, block, word = rows[order], block[order], word[order]
         # Sorted stably by word, rows of a word stand in the order of the suffixes after it.
-        new = np.append(True, (word[1:] != word[:-1]) | (block[1:] != block[:-1])) if len(z) else np.empty(0, bool)
-        block = np.cumsum(new)
-        many = ~(new & np.append(new[1:], True))
-        for k, s in enumerate(shards):
-            images = np.zeros(len(s.order), bool)
-            images[s.lf[active[k]]] = True
-            active[k] = np.flatnonzero(images)[many[z == k]]
-        z, block = z[many], block[many]
-    return z, block, active
+        new = np.empty(len(rows) + 1, bool)
+        new[0] = new[-1] = True
+        np.logical_or(word[1:] != word[:-1], block[1:] != block[:-1], out=new[1:-1])
+        many = ~(new[:-1] & new[1:])
+        rows, block = rows[many], np.cumsum(new[:-1], dtype=np.int32)[many]
+    return rows, block
 
 
 def repeated_windows(strings: list[bytes], depth: int = LENGTH, shards: int = SHARDS) -> list[np.ndarray]:
     """For each string the offsets of its ``depth``-byte windows that stand anywhere else in the strings."""
     parts = [list(range(k, len(strings), shards)) for k in range(min(shards, len(strings)))]
-    built = [Shard([strings[i] for i in p], depth) for p in parts]
-    _, _, active = merge(built, depth)
+    words = _words([strings[i] for p in parts for i in p])
+    cut = np.cumsum([0, *[sum(len(strings[i]) + 1 for i in p) for p in parts]])
+    built = [Shard([strings[i] for i in p], words[a:b], depth) for p, a, b in zip(parts, cut, cut[1:])]
+    rows, _ = merge(built, depth)
+    at = np.sort(np.concatenate([s.order + k for s, k in zip(built, cut)])[rows])
+    starts = np.concatenate([s.start + k for s, k in zip(built, cut)])
+    ends = np.searchsorted(at, np.append(starts[1:], cut[-1]))
     out: list[np.ndarray] = [np.empty(0, np.int64)] * len(strings)
-    for p, s, a in zip(parts, built, active):
-        at = s.order[a]
-        owner = s.owner[at]
-        by = np.lexsort((at, owner))
-        cut = np.searchsorted(owner[by], np.arange(len(p) + 1))
-        for j, i in enumerate(p):
-            out[i] = at[by][cut[j] : cut[j + 1]] - s.start[j]
+    for j, i in enumerate(i for p in parts for i in p):
+        out[i] = at[ends[j - 1] if j else 0 : ends[j]] - starts[j]
     return out
 
 
