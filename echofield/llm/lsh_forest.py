@@ -15,6 +15,8 @@ A pair at the threshold misses one tree with a probability under 0.2, and all si
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,34 +53,53 @@ def _odd(n: int, seed: int) -> np.ndarray:
 PERMUTE = _odd(TREES * DEPTH, 1)
 SHIFT = _odd(TREES * DEPTH, 2)
 PLACE = _odd(SHINGLE, 3)
-BASE = 0x9E3779B97F4A7C15
-
-
-def word_hashes(text: str) -> np.ndarray:
-    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of the whole text with A-Z in lower case."""
-    b = LOWER[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)]
-    out, at = [], 0
+#: Bytes from which a word is hashed by digest, and masks of the first 0 to 8 bytes of a number.
+LONG_WORD = 64
+HEAD = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _block_hashes(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of the words of a block: eight bytes at a time over all words, the few long ones by digest."""
+    space = SPACES[part]
+    first, last = ~space, ~space
+    first[1:] &= space[:-1]
+    last[:-1] &= space[1:]
+    starts, length = np.flatnonzero(first), np.flatnonzero(last) + 1
+    length -= starts
+    padded = np.append(part, np.zeros(8, np.uint8))
+    at_any_byte = np.ndarray((len(part),), "<u8", padded.data, 0, (1,))
+    h = (at_any_byte[starts] & HEAD[np.minimum(length, 8)]) * PERMUTE[0]
+    for k in range(8, LONG_WORD, 8):
+        i = np.flatnonzero(length > k)
+        if not len(i):
+            break
+        h[i] = _mixed(h[i]) + (at_any_byte[starts[i] + k] & HEAD[np.minimum(length[i] - k, 8)]) * PERMUTE[1]
+    for i in np.flatnonzero(length > LONG_WORD):
+        word = part[starts[i] : starts[i] + length[i]].tobytes()
+        h[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return _mixed(h + length.astype(np.uint64) * PERMUTE[2]), starts
+
+
+def batch_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of whole texts with A-Z in lower case, and how many each text has."""
+    raw = [(t or "").encode("utf-8", "replace") for t in texts]
+    b = LOWER[np.frombuffer(b"\n".join(raw), np.uint8)]
+    out, places, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
     while at < len(b):
         end = at + BLOCK_BYTES
         while end < len(b) and not SPACES[b[end]].item():
             ahead = SPACES[b[end : end + 4096]]
             end = end + int(ahead.argmax()) if ahead.any() else end + len(ahead)
-        part = b[at:end]
-        space = SPACES[part]
-        first = ~space
-        first[1:] &= space[:-1]
-        starts = np.flatnonzero(first)
-        if len(starts):
-            length = np.diff(np.append(starts, len(part)))
-            place = np.arange(starts[0], len(part)) - np.repeat(starts, length)
-            power = np.full(int(place.max()) + 1, BASE, np.uint64)
-            power[0] = 1
-            power = np.cumprod(power, dtype=np.uint64)
-            value = (part[starts[0] :].astype(np.uint64) + np.uint64(1)) * power[place]
-            value[space[starts[0] :]] = 0
-            out.append(_mixed(np.add.reduceat(value, starts - starts[0])))
+        h, starts = _block_hashes(b[at:end])
+        out.append(h)
+        places.append(starts + at)
         at = end
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+    upto = np.searchsorted(np.concatenate(places), np.cumsum([len(r) + 1 for r in raw]))
+    return np.concatenate(out), np.diff(np.append(0, upto))
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    return batch_hashes([text])[0]
 
 
 def shingles(text: str | None) -> np.ndarray:

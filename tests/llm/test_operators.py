@@ -242,8 +242,7 @@ def test_lm_score(docs, empty):
 
 def test_lm_probabilities_add_up(docs):
     model, counts = maxent.train(docs, key=F.col("doc_id"))
-    h = np.concatenate([maxent.tokens(r[1]) for r in ROWS[:3]])
-    f = maxent.features(h, np.array([0]))[5:8]
+    f = maxent.features(*maxent.tokens([r[1] for r in ROWS[:3]]))[5:8]
     for row in f:
         words = np.arange(model.used)
         p = 10 ** maxent.log_prob(model, np.repeat(row[None], model.used + 1, 0), np.append(words, -1))
