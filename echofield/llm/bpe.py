@@ -5,7 +5,8 @@ its boundary is deleted, and the two neighbouring ranks are looked up again. Wor
 where repeated scans are quadratic, take the merges of one rank at a time from a heap; the result is the same.
 
 Tokens of a word depend on the word alone, so a task keeps the tokens of the white-space separated pieces that it has
-met, up to ``MEMO_PIECES``; then it starts over. Texts are cut at white space into blocks, so memory follows the
+met in two generations of ``MEMO_PIECES``: when the young one is full it becomes the old one, and a piece that is met
+again moves to the young one. Texts are cut at white space into blocks, so memory follows the
 block and not the text.
 """
 
@@ -26,10 +27,12 @@ from pyspark.sql import types as T
 
 from echofield.llm.common import slices
 
-MEMO_PIECES = 600_000
+MEMO_PIECES = 130_000
 MEMO_CHARS = 64
 LONG_WORD = 200
 BLOCK_CHARS = 1 << 20
+#: Bytes of text whose ids and decoded text a task holds at once.
+SLICE_BYTES = 2 << 20
 NO_RANK = 1 << 60
 
 
@@ -68,6 +71,7 @@ class Vocabulary:
         for token, i in [*vocab.items(), *self.special.items()]:
             self.tokens[i] = token
         self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def merge(self, word: bytes) -> list[int]:
         """Token ids of one word."""
@@ -112,11 +116,12 @@ class Vocabulary:
 
     def piece(self, piece: str) -> bytes:
         """Ids of a piece without white space, as 32-bit integers."""
-        ids = [i for w in self.word.findall(piece) for i in self.merge(w.encode())]
-        out = array("i", ids).tobytes()
+        out = self.old.get(piece)
+        if out is None:
+            out = array("i", [i for w in self.word.findall(piece) for i in self.merge(w.encode())]).tobytes()
         if len(piece) <= MEMO_CHARS:
             if len(self.memo) >= MEMO_PIECES:
-                self.memo.clear()
+                self.memo, self.old = {}, self.memo
             self.memo[piece] = out
         return out
 
@@ -126,8 +131,8 @@ class Vocabulary:
             text = unicodedata.normalize("NFC", text)
         text = text.replace("Σ", "σ").lower()
         pieces = text.split() if not SEPARATORS.search(text) else SPACE.split(text)
-        get, encode = self.memo.get, self.piece
-        return b"".join([get(p) or encode(p) for p in pieces if p])
+        encode = self.piece
+        return b"".join([self.memo.get(p) or encode(p) for p in pieces if p])
 
     def encode(self, text: str) -> np.ndarray:
         out = []
@@ -186,7 +191,7 @@ def round_trip(docs: DataFrame, path: str, text: str = "text", id_col: str = "do
 
     def run(batches):
         v = vocabulary(path)
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, "_text", SLICE_BYTES):
             ids = [v.encode(t) if t else np.empty(0, np.int32) for t in batch.column("_text").to_pylist()]
             ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
