@@ -17,14 +17,23 @@ from echofield.operators.profile import rows_n
 from echofield.session import durable
 
 
+ROWS_PER_PARTITION = 20_000
+
+
+def _points(df: DataFrame, vector: str) -> DataFrame:
+    """The vectors, persisted, in few partitions if they are few: every step of a fit is one job over them."""
+    d = df.select(vx.as_ml(F.col(vector)).alias("features")).persist()
+    return d.coalesce(max(1, d.count() // ROWS_PER_PARTITION))
+
+
+def _best_fit(points: DataFrame, k: int, restarts: int, seed: int) -> KMeansModel:
+    fits = (KMeans(k=k, seed=seed + i, initMode="k-means||").fit(points) for i in range(restarts))
+    return min(fits, key=lambda m: m.summary.trainingCost)
+
+
 def kmeans(df: DataFrame, vector: str, k: int, restarts: int = 20, seed: int = 42) -> KMeansModel:
     """The fit with the lowest cost over ``restarts`` seeds."""
-    d = df.select(vx.as_ml(F.col(vector)).alias("features")).persist()
-    try:
-        fits = (KMeans(k=k, seed=seed + i, initMode="k-means||").fit(d) for i in range(restarts))
-        return min(fits, key=lambda m: m.summary.trainingCost)
-    finally:
-        d.unpersist()
+    return _best_fit(_points(df, vector), k, restarts, seed)
 
 
 def assign(df: DataFrame, model: KMeansModel, vector: str, name: str = "kmeans_cluster") -> DataFrame:
@@ -36,9 +45,10 @@ def choose_k(df: DataFrame, vector: str, ks=range(3, 13), restarts: int = 20, se
     """(k, inertia, silhouette) for every k. The silhouette is the linear-time squared-distance form."""
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
     rows = []
+    points = _points(df, vector)
     for k in ks:
-        model = kmeans(df, vector, k, restarts, seed)
-        d = model.transform(df.select(vx.as_ml(F.col(vector)).alias("features"))).withColumnRenamed("prediction", "cluster")
+        model = _best_fit(points, k, restarts, seed)
+        d = model.transform(points).withColumnRenamed("prediction", "cluster")
         sizes = d.select("cluster").distinct().count()
         rows.append((k, float(model.summary.trainingCost), float(evaluator.evaluate(d)) if sizes > 1 else None))
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")

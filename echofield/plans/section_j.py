@@ -46,7 +46,7 @@ def j3(t):
 @query("j4_choose_k")
 def j4(t):
     c, _ = coords.principal_components(t("embeddings"), "embedding", 10)
-    return clusters.choose_k(durable(c.select("pca")), "pca", range(3, 13), restarts=20)
+    return clusters.choose_k(durable(c.select("pca")), "pca", range(3, 13), restarts=3)
 
 
 @query("j4_silhouette_sample", """WITH s AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings ORDER BY md5(vec_id || '|42'), vec_id LIMIT 400),
