@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-import data
+import llm_data as data
 from echofield.llm import bpe, bwt, cotraining, exact_dedup, language, lsh_forest, maxent, mixing, token_cache, topk
 from echofield.llm.common import staged
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-import data
+import llm_data as data
 from echofield.llm import queries
 from echofield.llm.common import staged
 
