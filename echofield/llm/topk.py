@@ -29,6 +29,9 @@ BLOCK = 64
 DIGITS = 6
 #: Queries that one task runs against a shard at a time.
 QUERY_BLOCK = 256
+TERMS_AT_ONCE = 20_000
+#: Binary columns of a term's row: documents, frequencies, and for each block its last document, highest frequency, shortest length.
+PARTS = ("docs", "tfs", "last", "high", "short")
 TERM = re.compile(r"[^\W_]+")
 
 
@@ -38,11 +41,11 @@ def terms(text: str | None) -> list[str]:
 
 
 def build_index(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Rows of three kinds: documents (``shard``, ``at``, ``id``), lengths (``shard``, ``blob``, their sum in ``df``), postings (``shard``, ``term``, ``df``, ``blob``, ``bounds``)."""
+    """Rows of three kinds: documents (``shard``, ``at``, ``id``), lengths (``shard``, ``docs``, their sum in ``df``), postings (``shard``, ``term``, ``df`` and the columns of PARTS)."""
     d = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    kinds = [("kind", T.IntegerType()), ("shard", T.IntegerType()), ("at", T.IntegerType()), ("id", d.schema["_id"].dataType), ("term", T.StringType()), ("df", T.LongType()), ("blob", T.BinaryType()), ("bounds", T.BinaryType())]
+    kinds = [("kind", T.IntegerType()), ("shard", T.IntegerType()), ("at", T.IntegerType()), ("id", d.schema["_id"].dataType), ("term", T.StringType()), ("df", T.LongType()), *[(p, T.BinaryType()) for p in PARTS]]
     schema = T.StructType([T.StructField(n, k) for n, k in kinds])
-    layout = pa.schema([("kind", pa.int32()), ("shard", pa.int32()), ("at", pa.int32()), ("id", _arrow(d)), ("term", pa.string()), ("df", pa.int64()), ("blob", pa.binary()), ("bounds", pa.binary())])
+    layout = pa.schema([("kind", pa.int32()), ("shard", pa.int32()), ("at", pa.int32()), ("id", _arrow(d)), ("term", pa.string()), ("df", pa.int64()), *[(p, pa.binary()) for p in PARTS]])
 
     def run(batches):
         shard, numbers = TaskContext.get().partitionId(), {}
@@ -58,21 +61,14 @@ def build_index(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i]) if ids[i] is not None else (True, 0))
         size = np.array([lengths[i] for i in order], np.int32)
         yield _rows(layout, kind=0, shard=shard, at=np.arange(len(ids), dtype=np.int32), id=[ids[i] for i in order])
-        yield _rows(layout, kind=1, shard=shard, df=[int(size.sum(dtype=np.int64))], blob=[size.tobytes()])
+        yield _rows(layout, kind=1, shard=shard, df=[int(size.sum(dtype=np.int64))], docs=[size.tobytes()])
         at = np.repeat(np.arange(len(ids), dtype=np.int32), [len(found[i][0]) for i in order])
         term = np.concatenate([found[i][0] for i in order]) if at.size else np.empty(0, np.int32)
         tf = np.concatenate([found[i][1] for i in order]).astype(np.int32) if at.size else term
         by = np.argsort(term, kind="stable")
         at, term, tf = at[by], term[by], tf[by]
         cut = np.searchsorted(term, np.arange(len(numbers) + 1))
-        names, out = list(numbers), []
-        for k, name in enumerate(names):
-            a, f = at[cut[k] : cut[k + 1]], tf[cut[k] : cut[k + 1]]
-            out.append((name, len(a), a.tobytes() + f.tobytes(), _bounds(a, f, size[a])))
-            if len(out) == 20_000 or k == len(names) - 1:
-                n, c, b, m = zip(*out)
-                yield _rows(layout, kind=2, shard=shard, term=n, df=c, blob=b, bounds=m)
-                out = []
+        yield from _postings(layout, shard, list(numbers), cut, at, tf, size)
 
     return d.mapInArrow(run, schema)
 
@@ -85,14 +81,44 @@ def _arrow(d: DataFrame) -> pa.DataType:
 
 def _rows(layout: pa.Schema, **columns) -> pa.RecordBatch:
     n = max(len(c) for c in columns.values() if not isinstance(c, int))
-    data = [pa.nulls(n, f.type) if f.name not in columns else pa.array([c] * n if isinstance(c := columns[f.name], int) else c, f.type) for f in layout]
-    return pa.RecordBatch.from_arrays(data, schema=layout)
 
+    def column(f: pa.Field) -> pa.Array:
+        c = columns.get(f.name)
+        if c is None:
+            return pa.nulls(n, f.type)
+        return c if isinstance(c, pa.Array) else pa.array([c] * n if isinstance(c, int) else c, f.type)
 
-def _bounds(at: np.ndarray, tf: np.ndarray, size: np.ndarray) -> bytes:
-    starts = np.arange(0, len(at), BLOCK)
+    return pa.RecordBatch.from_arrays([column(f) for f in layout], schema=layout)
+
+
+def _cut_bytes(x: np.ndarray, cut: np.ndarray) -> pa.Array:
+    """Binary values from neighbouring pieces of one array, without touching the pieces."""
+    x = np.ascontiguousarray(x[cut[0] : cut[-1]], np.int32)
+    offsets = ((cut - cut[0]) * 4).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(x)])
+
+
+def _blocks(cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the blocks of all terms start, and where each term's blocks start among them."""
+    n = -(-np.diff(cut) // BLOCK)
+    first = np.append(0, np.cumsum(n))
+    within = np.arange(first[-1]) - np.repeat(first[:-1], n)
+    return np.repeat(cut[:-1], n) + within * BLOCK, first
+
+
+def _postings(layout: pa.Schema, shard: int, names: list[str], cut: np.ndarray, at: np.ndarray, tf: np.ndarray, size: np.ndarray):
+    """Rows of all terms with their block bounds, some terms at a time."""
+    if not names:
+        return
+    starts, first = _blocks(cut)
     ends = np.append(starts[1:], len(at)) - 1
-    return np.concatenate([at[ends], np.maximum.reduceat(tf, starts), np.minimum.reduceat(size, starts)]).astype(np.int32).tobytes()
+    last, high, short = at[ends], np.maximum.reduceat(tf, starts), np.minimum.reduceat(size[at], starts)
+    for k in range(0, len(names), TERMS_AT_ONCE):
+        c, f = cut[k : k + TERMS_AT_ONCE + 1], first[k : k + TERMS_AT_ONCE + 1]
+        yield _rows(
+            layout, kind=2, shard=shard, term=names[k : k + TERMS_AT_ONCE], df=np.diff(c), docs=_cut_bytes(at, c), tfs=_cut_bytes(tf, c),
+            last=_cut_bytes(last, f), high=_cut_bytes(high, f), short=_cut_bytes(short, f),
+        )
 
 
 class _Cursor:
@@ -100,9 +126,8 @@ class _Cursor:
 
     __slots__ = ("at", "score", "last", "most", "top", "i", "doc")
 
-    def __init__(self, blob: bytes, bounds: bytes, weight: float, size: np.ndarray, mean: float):
-        at, tf = np.frombuffer(blob, np.int32).reshape(2, -1)
-        last, high, short = np.frombuffer(bounds, np.int32).reshape(3, -1)
+    def __init__(self, row: dict, weight: float, size: np.ndarray, mean: float):
+        at, tf, last, high, short = (np.frombuffer(row[c], np.int32) for c in PARTS)
         self.at = at
         self.score = _impact(weight, tf, size[at], mean)
         self.last, self.most = last, _impact(weight, high, short, mean)
@@ -197,34 +222,34 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, text: str = "text"
     q = staged(q, "search-terms")
 
     sizes = index.filter("kind = 1")
-    n, total = sizes.agg(F.sum(F.octet_length("blob") / 4), F.sum("df")).first()
+    n, total = sizes.agg(F.sum(F.octet_length("docs") / 4), F.sum("df")).first()
     schema = f"_q {q.schema['_q'].dataType.simpleString()}, shard int, at int, score double"
     if not n or not total:
         return index.sparkSession.createDataFrame([], f"query_id {q.schema['_q'].dataType.simpleString()}, rank int, id {index.schema['id'].dataType.simpleString()}, score double")
     mean = total / n
 
     # Postings of the query terms: one row for each shard and block of queries that needs them.
-    hits = index.filter("kind = 2").join(q.select("term", "_block").distinct(), "term").select("shard", "_block", "term", "df", "blob", "bounds")
+    hits = index.filter("kind = 2").join(q.select("term", "_block").distinct(), "term").select("shard", "_block", "term", "df", *PARTS)
     hits = staged(hits, "search-postings")
     df = hits.groupBy("term", "shard").agg(F.first("df").alias("df")).groupBy("term").agg(F.sum("df").alias("df"))
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighed = q.join(df, "term").select("_block", "_q", "term", (F.col("_times") * idf).alias("_weight"))
     weighed = weighed.join(hits.select("shard", "_block", "term"), ["_block", "term"])
-    blobs = hits.select("shard", "_block", "term", "blob", "bounds").unionByName(
-        sizes.join(hits.select("shard", "_block").distinct(), "shard").select("shard", "_block", F.lit(None).cast("string").alias("term"), "blob", "bounds")
+    blobs = hits.select("shard", "_block", "term", *PARTS).unionByName(
+        sizes.join(hits.select("shard", "_block").distinct(), "shard").select("shard", "_block", F.lit(None).cast("string").alias("term"), *PARTS)
     )
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         size, postings = None, {}
         for r in left.to_pylist():
             if r["term"] is None:
-                size = np.frombuffer(r["blob"], np.int32)
+                size = np.frombuffer(r["docs"], np.int32)
             else:
-                postings[r["term"]] = (r["blob"], r["bounds"])
+                postings[r["term"]] = r
         shard = left.column("shard")[0].as_py() if left.num_rows else None
         by: dict = {}
         for r in sorted(right.to_pylist(), key=lambda r: r["term"]):
-            by.setdefault(r["_q"], []).append(_Cursor(*postings[r["term"]], r["_weight"], size, mean))
+            by.setdefault(r["_q"], []).append(_Cursor(postings[r["term"]], r["_weight"], size, mean))
         out = [(i, shard, at, s) for i, cursors in by.items() for s, at in block_max_wand(cursors, k)]
         kinds = [right.schema.field("_q").type, pa.int32(), pa.int32(), pa.float64()]
         return pa.table([pa.array([r[j] for r in out], t) for j, t in enumerate(kinds)], names=["_q", "shard", "at", "score"])

@@ -276,11 +276,18 @@ def test_wand_skips_and_stays_exact():
     r = np.random.default_rng(2)
     size = r.integers(20, 200, 5000).astype(np.int32)
     cursors, scores = [], np.zeros(5000)
+
+    def row(at, tf):
+        starts, _ = topk._blocks(np.array([0, len(at)]))
+        ends = np.append(starts[1:], len(at)) - 1
+        parts = at, tf, at[ends], np.maximum.reduceat(tf, starts), np.minimum.reduceat(size[at], starts)
+        return {c: x.astype(np.int32).tobytes() for c, x in zip(topk.PARTS, parts)}
+
     for df in (4000, 1500, 300, 40, 5):
         at = np.sort(r.choice(5000, df, replace=False)).astype(np.int32)
         tf = r.integers(1, 9, df).astype(np.int32)
         w = math.log(1 + 5000 / df)
-        cursors.append(topk._Cursor(at.tobytes() + tf.tobytes(), topk._bounds(at, tf, size[at]), w, size, float(size.mean())))
+        cursors.append(topk._Cursor(row(at, tf), w, size, float(size.mean())))
         scores[at] += topk._impact(w, tf, size[at], float(size.mean()))
     want = sorted(((-round(float(s), 6), i) for i, s in enumerate(scores) if s), key=lambda x: x)[:10]
     assert [(-s, d) for s, d in topk.block_max_wand(cursors, 10)] == want
