@@ -23,6 +23,15 @@ def j1_coordinates(t):
     return out.select("vec_id", F.posexplode("pca").alias("component", "value"))
 
 
+@query("j1_pca_invariants", f"""WITH x AS (SELECT vec_id, unnest(embedding::DOUBLE[]) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    s AS (SELECT i, var_samp(v) AS s FROM x GROUP BY 1) SELECT {WIDTH}::BIGINT AS components, round(sum(s), 4) AS total_variance, 0.0::DOUBLE AS largest_mean FROM s""")
+def j1_invariants(t):
+    """All components together keep the whole variance, and their coordinates are centred."""
+    out, _ = coords.principal_components(t("embeddings"), "embedding", WIDTH)
+    c = out.select(F.posexplode("pca").alias("i", "x")).groupBy("i").agg(F.var_samp("x").alias("s"), F.avg("x").alias("m"))
+    return c.agg(F.count(F.lit(1)).alias("components"), F.round(F.sum("s"), 4).alias("total_variance"), F.round(F.max(F.abs("m")), 6).alias("largest_mean"))
+
+
 def _projection_sql(k: int) -> str:
     cols = ", ".join(
         f"round(list_dot_product(embedding::DOUBLE[], [(CASE WHEN ('0x' || substr(md5('42|{i}|' || j), 1, 1))::INT % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END) / sqrt({k}::DOUBLE) for j in range({WIDTH})]), 6) AS coord_{i + 1}"
@@ -43,6 +52,18 @@ def j3(t):
     return clusters.assign(e, model, "embedding").select("vec_id", "kmeans_cluster")
 
 
+@query("j3_kmeans_invariants", "SELECT count(*) AS n_rows, 8::BIGINT AS n_clusters, 0::BIGINT AS not_nearest FROM embeddings")
+def j3_invariants(t):
+    """Every row is with its nearest centre, and no cluster is empty."""
+    e = t("embeddings")
+    model = clusters.kmeans(e, "embedding", 8, restarts=3)
+    gap = lambda c: F.aggregate(
+        F.zip_with("embedding", F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)), F.lit(0.0), lambda s, x: s + x)
+    d = clusters.assign(e, model, "embedding").withColumn("gaps", F.array(*[gap(c) for c in model.clusterCenters()]))
+    return d.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("kmeans_cluster").alias("n_clusters"),
+                 F.count_if(F.element_at("gaps", F.col("kmeans_cluster") + 1) > F.array_min("gaps") + 1e-6).alias("not_nearest"))
+
+
 @query("j4_choose_k")
 def j4(t):
     c, _ = coords.principal_components(t("embeddings"), "embedding", 10)
