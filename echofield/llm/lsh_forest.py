@@ -5,12 +5,17 @@
 * Each class has a signature of ``TREES * DEPTH`` minimum hashes. Each tree orders all classes by its own ``DEPTH`` of
   them. The order is range-partitioned over the cluster, so no bucket has to fit in a task.
 * Neighbours in an order with a common prefix are candidates. A region of at most ``REACH + 1`` classes with a common
-  first hash gives all its pairs; in a denser one the ``REACH`` nearest are those with the longest common prefixes, so
-  the depth follows the region. Rows at the edges of partitions meet in a second, small pass.
+  first hash gives all its pairs; in a denser one the ``REACH`` nearest are those with the longest common prefixes, and
+  all its classes are marked as cut. Rows at the edges of partitions meet in a second, small pass.
 * Candidates are confirmed on full sets: first the best of each class, then those between classes that the first
   links have not already connected.
+* The cut classes are finished by an exact join: shingles are ordered from rare to common, two sets over the
+  threshold share one of their first ones, and the places there and the lengths leave few pairs. Pairs inside a component
+  are left out before they are made; tokens of many classes are dealt out in blocks.
 
-A pair at the threshold misses one tree with a probability under 0.2, and all sixteen with one under 1e-11.
+A pair whose first hashes agree in a tree misses it by its other hashes or because both ends are cut there. Without a cut, a
+pair at the threshold misses one tree with a probability under 0.2, and all sixteen with one under 1e-11; cut ends meet in the
+exact join.
 """
 
 from __future__ import annotations
@@ -33,6 +38,11 @@ REACH = 4
 #: Equal hashes in the part of the signature that orders a tree, for a pair to be a candidate there.
 AGREE = 4
 THRESHOLD = 85
+#: log2 of the buckets that count shingles for the order of the exact join.
+TALLY_BITS = 20
+#: Classes of a common shingle that one group of the exact join holds, and pairs that it looks at together.
+HOT_BLOCK = 4096
+MEET_PAIRS = 1 << 20
 BLOCK_BYTES = 4 << 20
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
@@ -151,8 +161,8 @@ def _agree(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return (labels[i] == labels[j]).sum(1)
 
 
-def _candidates(batch: pa.RecordBatch, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indices of candidate pairs of one sorted run."""
+def _candidates(batch: pa.RecordBatch, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Indices of candidate pairs of one sorted run, and of rows that have a next one beyond the reach with their first hash."""
     n = batch.num_rows
     tree = batch.column("_tree").to_numpy(zero_copy_only=False)
     size = batch.column("_n").to_numpy(zero_copy_only=False)
@@ -167,11 +177,13 @@ def _candidates(batch: pa.RecordBatch, threshold: int) -> tuple[np.ndarray, np.n
         good = _agree(labels, i, j) >= AGREE
         left.append(i[good])
         right.append(j[good])
-    return np.concatenate(left), np.concatenate(right)
+    i = np.arange(n - REACH - 1)
+    far = i[(tree[i] == tree[i + REACH + 1]) & (labels[i, 0] == labels[i + REACH + 1, 0])]
+    return np.concatenate(left), np.concatenate(right), far
 
 
 def _neighbours(threshold: int):
-    """Pairs of a sorted partition, and its first and last rows for the second pass."""
+    """Pairs of a sorted partition, its cut classes as pairs with themselves, and its first and last rows for the second pass."""
     names = ["_tree", "_x", "_y", "_m", "_n"]
 
     def pairs(batch, i, j):
@@ -185,12 +197,14 @@ def _neighbours(threshold: int):
                 continue
             joined = batch if carry is None else pa.Table.from_batches([carry, batch]).combine_chunks().to_batches()[0]
             old = 0 if carry is None else carry.num_rows
-            i, j = _candidates(joined, threshold)
+            i, j, far = _candidates(joined, threshold)
             new = j >= old
             yield _full(pairs(joined, i[new], j[new]))
-            if first is None or first.num_rows < REACH:
-                first = joined.slice(0, REACH)
-            carry = joined.slice(max(0, joined.num_rows - REACH))
+            cut = np.union1d(far, far + REACH + 1)
+            yield _full(pairs(joined, cut, cut))
+            if first is None or first.num_rows <= REACH:
+                first = joined.slice(0, REACH + 1)
+            carry = joined.slice(max(0, joined.num_rows - REACH - 1))
         if carry is not None:
             yield _edge(first)
             yield _edge(carry)
@@ -209,8 +223,8 @@ def _edge(b: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["_tree", "_x", "_y", "_m", "_n", "_label", "_label2", "_edge"])
 
 
-def candidates(classes: DataFrame, threshold: int, trees: int = TREES) -> DataFrame:
-    """``_a`` < ``_b`` and ``_trees`` (in how many trees they met) of all candidate pairs of classes."""
+def candidates(classes: DataFrame, threshold: int, trees: int = TREES) -> tuple[DataFrame, DataFrame]:
+    """``_a`` < ``_b`` and ``_trees`` (in how many trees they met) of all candidate pairs of classes, and ``_cls`` of the cut classes."""
     labels = F.explode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
         t.alias("_tree"), F.substring("_sig", t * (4 * DEPTH) + 1, F.lit(4 * DEPTH)).alias("_label"))))
     flat = classes.select("_cls", "_n", labels.alias("_l")).select("_l._tree", "_l._label", "_cls", "_n")
@@ -220,18 +234,22 @@ def candidates(classes: DataFrame, threshold: int, trees: int = TREES) -> DataFr
     # The edges: a few rows of each partition, in the order of each tree.
     edges = found.filter("_edge").select("_tree", "_label", F.col("_x").alias("_cls"), "_n").distinct()
     w = W.partitionBy("_tree").orderBy("_label", "_cls")
-    met = []
-    for reach in range(1, REACH + 1):
+    met, cut = [], [found.filter("not _edge and _x = _y").select(F.col("_x").alias("_cls"))]
+    for reach in range(1, REACH + 2):
         ahead = lambda c: F.lead(c, reach).over(w)  # noqa: B023, E731
         e = edges.select("_tree", F.col("_cls").alias("_x"), ahead("_cls").alias("_y"), F.col("_n").alias("_m"), ahead("_n").alias("_n"), "_label", ahead("_label").alias("_next"))
-        e = e.filter((F.substring("_label", 1, 4) == F.substring("_next", 1, 4)) & (100 * F.least("_m", "_n") >= threshold * F.greatest("_m", "_n")))
+        e = e.filter(F.substring("_label", 1, 4) == F.substring("_next", 1, 4))
+        if reach > REACH:
+            cut += [e.select(F.col("_x").alias("_cls")), e.select(F.col("_y").alias("_cls"))]
+            continue
+        e = e.filter((100 * F.least("_m", "_n") >= threshold * F.greatest("_m", "_n")))
         same = sum((F.substring("_label", 4 * k + 1, 4) == F.substring("_next", 4 * k + 1, 4)).cast("int") for k in range(DEPTH))
         met.append(e.filter(same >= AGREE).select("_tree", "_x", "_y"))
-    pairs = found.filter("not _edge").select("_tree", "_x", "_y")
+    pairs = found.filter("not _edge and _x <> _y").select("_tree", "_x", "_y")
     for m in met:
         pairs = pairs.unionByName(m)
     pairs = pairs.select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b"), "_tree").distinct()
-    return pairs.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_trees"))
+    return pairs.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_trees")), cut[0].union(cut[1]).union(cut[2]).distinct()
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, text: str, id_col: str) -> DataFrame:
@@ -274,6 +292,108 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return p.mapInArrow(run, "_a binary, _b binary").distinct()
 
 
+def _tally(sets: DataFrame) -> np.ndarray:
+    """In how many sets the shingles of each of 2^TALLY_BITS buckets are."""
+
+    def run(batches):
+        n = np.zeros(1 << TALLY_BITS, np.int64)
+        for batch in batches:
+            for s in batch.column("_set").to_pylist():
+                np.add.at(n, (np.frombuffer(s, np.uint64) >> np.uint64(64 - TALLY_BITS)).astype(np.int64), 1)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["_bucket", "_times"])
+
+    found = sets.select("_set").mapInArrow(run, "_bucket bigint, _times bigint").groupBy("_bucket").agg(F.sum("_times").alias("_times")).toArrow()
+    out = np.zeros(1 << TALLY_BITS, np.int64)
+    out[found.column("_bucket").to_numpy()] = found.column("_times").to_numpy()
+    return out
+
+
+def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
+    """The first shingles of each set (``_cls``, ``_set``, ``_root``) from rare to common, so many that two sets over the threshold share one.
+
+    ``_cap`` is the largest set that can still reach the threshold when this is the first common shingle.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(_tally(sets))
+    names = ["_tok", "_cls", "_root", "_n", "_cap"]
+
+    def run(batches):
+        times = shared.value
+        for batch in slices(batches, "_set", 1 << 20):
+            toks, caps, sizes, width = [], [], [], []
+            for raw in batch.column("_set").to_pylist():
+                s = np.frombuffer(raw, np.uint64)
+                n = len(s)
+                first = n - (threshold * n + 99) // 100 + 1
+                toks.append(s[np.lexsort((s, times[(s >> np.uint64(64 - TALLY_BITS)).astype(np.int64)]))[:first]].view(np.int64))
+                caps.append(((100 + threshold) * (n - np.arange(first)) - threshold * n) // threshold)
+                sizes.append(np.full(first, n))
+                width.append(first)
+            if width:
+                at = pa.array(np.repeat(np.arange(len(width)), width))
+                columns = [pa.array(np.concatenate(toks)), batch.column("_cls").take(at), batch.column("_root").take(at), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(caps))]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return sets.mapInArrow(run, "_tok bigint, _cls binary, _root binary, _n bigint, _cap bigint")
+
+
+def _words(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, 2)
+
+
+def _meet(b: pa.RecordBatch):
+    """Pairs of whole groups, sorted by token, block and size: the smaller set asks, the larger one is stored."""
+    tok, block, n, cap = (b.column(c).to_numpy() for c in ("_tok", "_block", "_n", "_cap"))
+    asks = b.column("_asks").to_numpy(zero_copy_only=False)
+    group = np.cumsum(np.append(True, (tok[1:] != tok[:-1]) | (block[1:] != block[:-1]))) << 32
+    cls, root = _words(b.column("_cls")), _words(b.column("_root"))
+    asking, stored = np.flatnonzero(asks), np.flatnonzero(~asks)
+    keys = group[stored] + n[stored]
+    low = np.searchsorted(keys, group[asking] + n[asking])
+    upto = np.cumsum(np.searchsorted(keys, group[asking] + cap[asking], "right") - low)
+    at = 0
+    while at < len(asking):
+        done = upto[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, done + MEET_PAIRS, "right")))
+        width = np.diff(np.append(done, upto[at:end]))
+        i = np.repeat(asking[at:end], width)
+        j = stored[np.repeat(low[at:end] - (upto[at:end] - width), width) + np.arange(done, upto[end - 1])]
+        order = (cls[i, 0] < cls[j, 0]) | ((cls[i, 0] == cls[j, 0]) & (cls[i, 1] < cls[j, 1]))
+        good = (cap[j] >= n[i]) & (root[i] != root[j]).any(1) & ((n[i] < n[j]) | order)
+        take = lambda k: b.column("_cls").take(pa.array(k[good]))  # noqa: B023, E731
+        yield pa.RecordBatch.from_arrays([take(i), take(j)], ["_x", "_y"])
+        at = end
+
+
+def _meetings(batches):
+    carry = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        joined = batch if carry is None else pa.Table.from_batches([carry, batch]).combine_chunks().to_batches()[0]
+        tok, block = joined.column("_tok").to_numpy(), joined.column("_block").to_numpy()
+        last = int(np.flatnonzero((tok != tok[-1]) | (block != block[-1])).max(initial=-1)) + 1
+        if last:
+            yield from _meet(joined.slice(0, last))
+        carry = joined.slice(last)
+    if carry is not None:
+        yield from _meet(carry)
+
+
+def finishing(sets: DataFrame, threshold: int) -> DataFrame:
+    """``_a`` < ``_b`` of all pairs of sets with different ``_root`` that can reach the threshold, by their first common shingle."""
+    entries = staged(_prefixes(sets, threshold), "forest-prefixes")
+    groups = entries.groupBy("_tok").agg(F.count(F.lit(1)).alias("_size"), F.min("_root").alias("_r"), F.max("_root").alias("_s"), F.max((F.col("_cap") >= F.col("_n")).cast("int")).alias("_any"))
+    groups = staged(groups.filter("_r <> _s and _any = 1").select("_tok", "_size"), "forest-tokens")
+    rows = with_group(entries, groups, "_tok", "_size", entries.count()).filter("_size is not null")
+    rows = rows.withColumn("_blocks", F.ceil(F.col("_size") / HOT_BLOCK)).drop("_size")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
+    own = rows.withColumn("_block", F.pmod(F.xxhash64("_cls"), F.col("_blocks"))).withColumn("_asks", F.lit(False))
+    ask = rows.filter("_cap >= _n").withColumn("_block", every).withColumn("_asks", F.lit(True))
+    dealt = own.unionByName(ask).drop("_blocks").repartition(shuffle_width(sets), "_tok", "_block").sortWithinPartitions("_tok", "_block", "_n")
+    return dealt.mapInArrow(_meetings, "_x binary, _y binary").select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b")).distinct()
+
+
 def near_dedup(
     docs: DataFrame, text: str = "text", id_col: str = "doc_id", threshold: int = THRESHOLD, keep: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -291,9 +411,9 @@ def near_dedup(
         F.min("_id").alias("_one"), F.count(F.lit(1)).alias("_size"), F.first("_n").alias("_n"), F.first("_sig").alias("_sig")
     )
     members = staged(members, "forest-classes")
-    pairs = staged(candidates(members, threshold), "forest-candidates")
+    pairs, cut = (staged(d, name) for d, name in zip(candidates(members, threshold), ("forest-candidates", "forest-cut")))
 
-    ends = pairs.select(F.col("_a").alias("_cls")).union(pairs.select(F.col("_b").alias("_cls"))).distinct()
+    ends = pairs.select(F.col("_a").alias("_cls")).union(pairs.select(F.col("_b").alias("_cls"))).union(cut).distinct()
     wanted = staged(members.select("_cls", "_one").join(ends, "_cls", "left_semi"), "forest-wanted")
     sets = staged(_sets(docs, wanted, text, id_col), "forest-sets")
 
@@ -308,7 +428,16 @@ def near_dedup(
     rest = staged(rest.filter("_ra is null or _rb is null or _ra <> _rb").select("_a", "_b"), "forest-rest")
     more = staged(confirm(rest, sets, threshold), "forest-more")
     if not more.isEmpty():
-        roots = components(links.unionByName(more), "_a", "_b")
+        links = links.unionByName(more)
+        roots = components(links, "_a", "_b")
+
+    if not cut.isEmpty():
+        open_sets = sets.join(cut, "_cls", "left_semi").join(root("_cls", "_root"), "_cls", "left")
+        open_sets = staged(open_sets.select("_cls", "_set", F.coalesce("_root", "_cls").alias("_root")), "forest-open")
+        last = staged(finishing(open_sets, threshold).join(pairs, ["_a", "_b"], "left_anti"), "forest-last")
+        last = staged(confirm(last, sets, threshold), "forest-finished")
+        if not last.isEmpty():
+            roots = components(links.unionByName(last), "_a", "_b")
 
     named = members.join(roots.withColumnRenamed("node", "_cls"), "_cls", "left").filter("root is not null or _size > 1")
     named = named.select("_cls", "_one", "_size", F.coalesce("root", "_cls").alias("_root"))

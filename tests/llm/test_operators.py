@@ -61,6 +61,20 @@ def test_near_dedup_of_a_large_family(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("block", [4096, 64])
+def test_near_dedup_of_a_base_and_its_versions(spark, monkeypatch, block):
+    """Versions are linked to their base only, which has more of them than its neighbours in all trees."""
+    monkeypatch.setattr(lsh_forest, "HOT_BLOCK", block)
+    base = data.text(1, 404)
+    rows = [(0, base), *[(i, base + " " + " ".join(f"v{i}x{k}" for k in range(50))) for i in range(1, 601)]]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(9)
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_dedup(frame).collect()}
+    sets = [set(lsh_forest.shingles(t).tolist()) for _, t in rows]
+    linked = lambda s, t: 100 * len(s & t) >= 85 * len(s | t)
+    assert all(linked(sets[0], s) for s in sets) and not any(linked(sets[i], sets[i + 1]) for i in range(1, 600))
+    assert set(got.values()) == {0} and len(got) == 601
+
+
 @pytest.mark.parametrize("hot", [2_000, 1])
 def test_repeated_passages(docs, empty, monkeypatch, hot):
     monkeypatch.setattr(bwt, "HOT_STRINGS", hot)
