@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from echofield.functions import labels as lb
 from echofield.functions import vectors as vx
-from echofield.operators import order, pick
+from echofield.operators import order
 from echofield.session import durable
 
 _NODES = "tree int, node int, feature int, cut double, left int, right int, size int, depth int"
@@ -31,21 +31,20 @@ def _mean_path(n):
 def isolation_trees(df: DataFrame, vector: str, trees: int = 200, subsample: int = 256, key: str = "id", seed: int = 42) -> DataFrame:
     """Node table of the forest, at most trees x 2 x subsample rows.
 
-    A seeded hash sample of at most trees x subsample rows is dealt out to the trees; each tree grows in its own task.
+    Each tree takes the ``subsample`` rows of the lowest seeded hashes of (key, tree), whatever the number of rows; a rate from
+    the row count holds back the others before the shuffle. Each tree grows in its own task.
     """
-    pool = pick.sample_rows(df.select(key, vector), trees * subsample, key, seed)
-    size = pool.count()
+    size = df.count()
     if size == 0:
         raise ValueError("an isolation forest needs rows")
-    if size >= trees * subsample:
-        # the pool is bounded, so one ordered pass over it is fine
-        place = F.row_number().over(W.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}"))), key)) - 1
-        dealt = pool.withColumn("tree", place % trees)
-    else:
-        every = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        lot = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.col("tree").cast("string"), F.lit(str(seed))))
-        w = W.partitionBy("tree").orderBy(lot, key)
-        dealt = every.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= min(subsample, size))
+    # six deviations over the subsample, so that no tree falls short of it
+    rate = min(1.0, (subsample + 6 * math.sqrt(subsample) + 6) / size)
+    most = min(int(rate * 2.0**63), 2**63 - 1)
+    lot = lambda t: F.shiftrightunsigned(F.xxhash64(F.col(key).cast("string"), t, F.lit(seed)), 1)
+    mine = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: lot(t) <= F.lit(most))
+    drawn = df.select(key, vector, F.explode(mine).alias("tree"))
+    w = W.partitionBy("tree").orderBy(lot(F.col("tree")), key)
+    dealt = drawn.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= subsample).drop("_r")
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(key)

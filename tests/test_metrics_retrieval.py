@@ -140,6 +140,18 @@ def test_isolation_forest_repeats_and_finds_outliers(spark):
     assert all(abs(a[i].isolation_score - b[i].isolation_score) < 1e-9 for i in a)
 
 
+def test_isolation_trees_of_one_more_row(spark):
+    """One row more at trees x subsample rows changes only the trees that draw it."""
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(rng.normal(size=(128, 3)))]
+    grown = []
+    for n in (127, 128):
+        nodes = outliers.isolation_trees(spark.createDataFrame(rows[:n], "id long, e array<double>"), "e", 8, 16).toPandas()
+        grown.append({k: g.sort_values("node").to_records(index=False).tolist() for k, g in nodes.groupby("tree")})
+    assert all(t[0][6] == 16 for g in grown for t in g.values())
+    assert len(grown[0]) == 8 and sum(grown[0][k] == grown[1][k] for k in range(8)) >= 4
+
+
 def test_novelty_gate(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0], i < 5) for i in range(40)], "id long, e array<double>, ref boolean")
     out = outliers.novelty(df, "e", "ref").collect()
