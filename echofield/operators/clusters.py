@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import product
 
 import numpy as np
@@ -93,6 +94,45 @@ def silhouette_sample(df: DataFrame, cluster: str, vector: str, n: int = 2000, k
     return spread.mapInPandas(run, schema)
 
 
+#: Rows of a block of ``silhouette``; a task holds two blocks.
+SILHOUETTE_BLOCK = 1024
+
+
+def silhouette(df: DataFrame, cluster: str, vector: str, key: str = "id") -> DataFrame:
+    """(key, cluster, silhouette) with Euclidean distances of every row to all rows, for unique keys.
+
+    Blocks of rows meet each other; a pair of blocks leaves one partial sum per row and cluster. A row alone in its cluster
+    has 0; with one cluster there is no value.
+    """
+    rows = df.select(F.col(key).alias("_k"), F.col(cluster).alias("_c"), F.col(vector).alias("_v"))
+    n = math.ceil(max(1, rows.count()) / SILHOUETTE_BLOCK)
+    packed = rows.groupBy(F.pmod(F.xxhash64("_k"), F.lit(n)).alias("_b")).agg(F.collect_list(F.struct("_k", "_c", "_v")).alias("_p"))
+    packed = durable(packed.select("_b", F.col("_p._k").alias("_k"), F.col("_p._c").alias("_c"), F.col("_p._v").alias("_v")))
+    others = packed.select(F.col("_b").alias("_o"), F.col("_c").alias("_d"), F.col("_v").alias("_w"))
+    width = min(n * n, 8 * df.sparkSession.sparkContext.defaultParallelism)
+    met = packed.crossJoin(others).repartition(width, "_b", "_o")
+
+    def run(batches):
+        for pdf in batches:
+            for keys, own, v, other, w in zip(*(pdf[c] for c in ("_k", "_c", "_v", "_d", "_w"))):
+                x, y = (np.vstack(m).astype(np.float64) for m in (v, w))
+                groups, place = np.unique(other, return_inverse=True)
+                member = np.eye(len(groups))[place]
+                sums = np.vstack([np.sqrt(((x[at : at + 16, None, :] - y[None, :, :]) ** 2).sum(axis=2)) @ member for at in range(0, len(x), 16)])
+                yield pd.DataFrame({
+                    "_k": np.repeat(keys, len(groups)), "_c": np.repeat(own, len(groups)), "_d": np.tile(groups, len(x)),
+                    "_total": sums.ravel(), "_n": np.tile(member.sum(axis=0).astype(np.int64), len(x)),
+                })
+
+    kind, label = (rows.schema[c].dataType.simpleString() for c in ("_k", "_c"))
+    sums = met.mapInPandas(run, f"_k {kind}, _c {label}, _d {label}, _total double, _n bigint").groupBy("_k", "_c", "_d").agg(F.sum("_total").alias("_total"), F.sum("_n").alias("_n"))
+    same = F.col("_c") == F.col("_d")
+    mean = F.try_divide("_total", F.col("_n") - same.cast("int"))
+    d = sums.groupBy("_k", "_c").agg(F.max(F.when(same, mean)).alias("_in"), F.min(F.when(~same, mean)).alias("_out"))
+    value = F.when(F.col("_out").isNull(), F.lit(None)).otherwise(F.coalesce(F.try_divide(F.col("_out") - F.col("_in"), F.greatest("_in", "_out")), F.lit(0.0)))
+    return d.select(F.col("_k").alias(key), F.col("_c").alias(cluster), F.round(value, 6).alias("silhouette"))
+
+
 # --- density clusters ----------------------------------------------------------------------------
 
 _HALF = 1 << 20  # cell coordinates are stored with 21 bits each, so up to three dimensions

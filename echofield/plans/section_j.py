@@ -67,7 +67,7 @@ def j3_invariants(t):
 @query("j4_choose_k")
 def j4(t):
     c, _ = coords.principal_components(t("embeddings"), "embedding", 10)
-    return clusters.choose_k(durable(c.select("pca")), "pca", range(3, 13), restarts=3)
+    return clusters.choose_k(durable(c.select("pca")), "pca", range(3, 13))
 
 
 @query("j4_silhouette_sample", """WITH s AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings ORDER BY md5(vec_id || '|42'), vec_id LIMIT 400),
@@ -78,6 +78,12 @@ def j4_silhouette(t):
     return clusters.silhouette_sample(t("embeddings"), "label", "embedding", 400, "vec_id")
 
 
+@query("j4_silhouette_rows")
+def j4_silhouette_rows(t):
+    """The silhouette of every row; the twin of the sample keeps its 400 rows."""
+    return clusters.silhouette(t("embeddings"), "label", "embedding", "vec_id")
+
+
 _EPS, _MIN, _SIZE = 0.12, 12, 30
 _OFFSETS = " UNION ALL ".join(f"SELECT {a} AS dx, {b} AS dy" for a, b in product((-1, 0, 1), repeat=2))
 

@@ -120,6 +120,22 @@ def test_keep_first_with_hot_copy(spark):
     assert len(got) == 31 and got["same"] == 1
 
 
+def test_silhouette_of_every_row(spark, monkeypatch):
+    monkeypatch.setattr(clusters, "SILHOUETTE_BLOCK", 20)
+    rng = np.random.default_rng(6)
+    x, c = rng.normal(size=(90, 3)), np.append(rng.integers(0, 3, 89), 7)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    want = {}
+    for i in range(90):
+        inside = (c == c[i]).sum() - 1
+        a = d[i, c == c[i]].sum() / inside if inside else None
+        b = min(d[i, c == g].mean() for g in set(c) - {c[i]})
+        want[i] = 0.0 if a is None else (b - a) / max(a, b)
+    df = spark.createDataFrame([(i, int(c[i]), [float(v) for v in x[i]]) for i in range(90)], "id long, g long, e array<double>")
+    got = {r.id: r.silhouette for r in clusters.silhouette(df, "g", "e").collect()}
+    assert len(got) == 90 and all(abs(got[i] - want[i]) < 2e-6 for i in want)
+
+
 def test_density_clusters(spark):
     rng = np.random.default_rng(2)
     pts = np.concatenate([rng.normal(0, 0.1, (60, 2)), rng.normal(5, 0.1, (50, 2)), [[20, 20], [-9, 4]], rng.normal(9, 0.02, (10, 2))])

@@ -33,5 +33,15 @@ def test_equals_sql(spark, name):
     assert rows(got) == rows(want) and got.num_rows > 0
 
 
+def test_choice_of_k_takes_all_restarts(spark, monkeypatch):
+    from echofield.operators import clusters
+
+    seen = []
+    monkeypatch.setattr(clusters, "_best_fit", lambda points, k, restarts, seed: seen.append((k, restarts)) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        entry.queries()["j4_choose_k"](spark, SF)
+    assert seen == [(3, 20)]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
