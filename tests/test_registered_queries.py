@@ -43,5 +43,25 @@ def test_choice_of_k_takes_all_restarts(spark, monkeypatch):
     assert seen == [(3, 20)]
 
 
+@pytest.mark.parametrize("name", [
+    "l2_cross_validation", "l3_severity_candidates", "l3_calibrated_margins", "l4_router_candidates", "l5_churn_candidates", "l7_select_refit_score", "l8_confidence",
+    "l9_route_new_texts",
+])
+def test_training_takes_all_trees_and_steps(spark, monkeypatch, name):
+    from echofield.operators import training
+
+    class Asked(Exception):
+        pass
+
+    def asked(scale=1.0):
+        raise Asked(scale)
+
+    for kind in ("severity", "router", "churn"):
+        monkeypatch.setattr(training, f"{kind}_candidates", asked)
+    with pytest.raises(Asked) as e:
+        entry.queries()[name](spark, SF)
+    assert e.value.args == (1.0,)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
