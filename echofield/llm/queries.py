@@ -204,3 +204,12 @@ def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = table(spark, sf_dir, "benchmark").filter("item_id % 20 = 0")
     found = topk.search(index, asked, 10, "text", "item_id")
     return found.select(F.col("query_id").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+@query("document_search_op9")
+def document_search_op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every document whose id is divisible by 20, against all documents."""
+    d = table(spark, sf_dir)
+    index = staged(topk.build_index(d), "search-index")
+    found = topk.search(index, d.filter("doc_id % 20 = 0"), 10, "text", "doc_id")
+    return found.select("query_id", "rank", F.col("id").alias("doc_id"), "score")

@@ -28,6 +28,15 @@ def test_equals_sql(spark, name):
     assert rows(got) == rows(want) and got.num_rows > 0
 
 
+def test_documents_as_search_queries(spark):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    want = con.sql(queries.TOPK_SQL.replace("from benchmark where", "from (select doc_id as item_id, text from documents) where")).fetchall()
+    got = [(r.query_id, r["rank"], r.doc_id, r.score) for r in entry.queries()["document_search_op9"](spark, SF).collect()]
+    assert [x[:2] for x in sorted(got)] == [x[:2] for x in sorted(want)] and len(got) >= 90
+    assert all(abs(a[3] - b[3]) < 2e-6 for a, b in zip(sorted(got), sorted(want)))
+
+
 def test_every_operator_has_one_query():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
