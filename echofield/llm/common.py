@@ -51,7 +51,7 @@ def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total: i
     return first.unionByName(rest).unionByName(none)
 
 
-def _slot(keys: list[str], bits: int) -> Column:
+def _slot(keys: list[str] | list[Column], bits: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(1 << bits))
 
 
@@ -67,7 +67,7 @@ def bit_table(rows: DataFrame, keys: list[str], bits: int = TABLE_BITS) -> DataF
     return table.agg(F.transform(ordered, lambda x: x["_bits"]).alias("_table"))
 
 
-def in_table(table: str, keys: list[str], bits: int = TABLE_BITS) -> Column:
+def in_table(table: str | Column, keys: list[str] | list[Column], bits: int = TABLE_BITS) -> Column:
     """False only for keys that are not in the table; true for all that are and for few others while it is not full."""
     slot = _slot(keys, bits)
     word = F.element_at(table, (F.floor(slot / 64) + 1).cast("int"))

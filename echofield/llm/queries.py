@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from echofield.llm import bpe, bwt, cotraining, exact_dedup, language, lsh_forest, maxent, mixing, token_cache, topk
+from echofield.llm import bpe, bwt, collocations, contamination, cotraining, exact_dedup, language, lsh_forest, maxent, mixing, periodic, token_cache, topk
 from echofield.llm.common import fold, staged
 
 QUERIES = {}
@@ -213,3 +213,112 @@ def document_search_op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = staged(topk.build_index(d), "search-index")
     found = topk.search(index, d.filter("doc_id % 20 = 0"), 10, "text", "doc_id")
     return found.select("query_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
+LEAK_SQL = r"""
+with i as (
+  select coalesce(cast(item_id as varchar), '') as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+  from benchmark
+), d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+  from documents
+), w as (
+  select distinct item, width, array_to_string(ws[j:j + width - 1], ' ') as g
+  from (select *, least(len(ws), 10) as width from i where len(ws) > 0), unnest(range(1, len(ws) - least(len(ws), 10) + 2)) as u(j)
+), x as (
+  select doc_id, j, width, array_to_string(ws[j:j + width - 1], ' ') as g
+  from d, (select distinct width from w), unnest(range(1, greatest(len(ws) - width + 2, 1))) as u(j)
+), m as (
+  select x.doc_id, x.j, x.width, w.item from x join w on x.width = w.width and x.g = w.g
+), h as (
+  select doc_id, count(distinct p) as n_hit from (select distinct doc_id, j, width from m), unnest(range(j, j + width)) as u(p) group by doc_id
+), t as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from m) group by doc_id
+)
+select d.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join h using (doc_id) left join t using (doc_id)
+"""
+
+
+@query("op11_decontamination", LEAK_SQL)
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that benchmark windows cover, and the items that they come from."""
+    found = contamination.contaminated(table(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+PHRASE_SQL = r"""
+with d as (
+  select doc_id, coalesce(lang, 'und') as lang, regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as ps
+  from documents
+), p as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from (select lang, unnest(ps) as piece from d)
+), g as (
+  select lang, k, array_to_string(ws[j:j + k - 1], ' ') as phrase, ws[j:j + k - 1] as w
+  from p, (values (1), (2), (3)) as v(k), unnest(range(1, greatest(len(ws) - k + 2, 1))) as u(j)
+), f as (
+  select lang, k, phrase, any_value(w) as w, count(*) as a from g group by lang, k, phrase
+), n as (
+  select lang, sum(a)::bigint as n from f where k = 1 group by lang
+), c as (
+  select lang, k, phrase, w, a from f where k > 1 and a >= 10
+), cuts as (
+  select c.lang, c.phrase, c.a, j, l.a as l, r.a as r, (1000000::hugeint * c.a * c.a) // (l.a::hugeint * r.a) as score
+  from c, unnest(range(1, c.k)) as u(j)
+  join f l on l.lang = c.lang and l.phrase = array_to_string(c.w[1:j], ' ')
+  join f r on r.lang = c.lang and r.phrase = array_to_string(c.w[j + 1:c.k], ' ')
+), best as (
+  select lang, phrase, any_value(a) as a, min({'s': score, 'j': j, 'l': l, 'r': r}) as b from cuts group by lang, phrase
+), part as (
+  select x.lang, x.phrase from c x join (
+    select lang, array_to_string(w[1:2], ' ') as phrase, a from c where k = 3 union all select lang, array_to_string(w[2:3], ' '), a from c where k = 3
+  ) y on x.lang = y.lang and x.phrase = y.phrase where 100 * y.a >= 50 * x.a
+), r as (
+  select b.lang, row_number() over (partition by b.lang order by b.b.s desc, b.a desc, encode(b.phrase)) as rank, b.phrase, b.a, b.b.l as l, b.b.r as r, b.b.s as score
+  from best b anti join part using (lang, phrase)
+)
+select r.lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r.r::bigint as r, n.n, score::bigint as score
+from r join n on n.lang = r.lang where rank <= 2000
+"""
+
+
+@query("op12_collocations", PHRASE_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest collocations of each language."""
+    return collocations.collocations(table(spark, sf_dir))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; texts whose crc32(doc_id) is a multiple of ten repeat a period from a word on, both given by it."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(F.col("text"), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+
+    def repeated(w, a):
+        n = F.size(w)
+        period = 1 + F.floor((n - a) / (3 + g % 8))
+        rest = F.transform(F.sequence(a, n - 1), lambda i: F.get(w, (a + (i - a) % period).cast("int")))
+        return F.concat_ws(" ", F.slice(w, F.lit(1), a), rest)
+
+    # Lambdas name the words and the place, so that they are computed once.
+    text = F.transform(F.array(words), lambda w: F.transform(F.array((g % F.size(w)).cast("int")), lambda a: repeated(w, a)))
+    planted = (h % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return docs.select("doc_id", F.when(planted, F.get(F.get(text, 0), 0)).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document after its planted period, and the digest of what is left without their repeats."""
+    found = periodic.periodic_runs(with_planted_periods(table(spark, sf_dir)))
+    ahead = F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    best = F.array_max(ahead)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n"))), "")
+    found = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("_best"), lines.alias("_lines"), "collapsed")
+    start, length, period = -F.col("_best.s"), F.col("_best.n"), -F.col("_best.p")
+    return found.select(
+        "doc_id", "n_runs", start.alias("start"), length.alias("length"), period.alias("period"), F.call_function("div", 1000 * length, period).alias("exponent_milli"),
+        F.sha2("_lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
