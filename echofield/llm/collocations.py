@@ -287,7 +287,7 @@ def build(phrases: np.ndarray) -> tuple[Trie, np.ndarray]:
     order = np.lexsort(rows.T[::-1])
     rows = rows[order]
     slots = _Slots(2 * len(rows) + 512)
-    slot_of = np.zeros(len(rows), np.int64)
+    slot_of = np.zeros(max(1, len(rows)), np.int64)
     new = np.zeros(len(rows), bool)
     if len(new):
         new[0] = True

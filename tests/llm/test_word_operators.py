@@ -123,10 +123,10 @@ def phrases(rows, least=10, cover=50, top=2000):
     return out
 
 
-@pytest.mark.parametrize("least,shard,top,part", [(10, 1 << 20, 2000, 15), (2, 50, 2000, 5), (3, 1 << 20, 7, 15)])
+@pytest.mark.parametrize("least,shard,top,part", [(10, 1 << 20, 2000, 15), (2, 150, 2000, 8), (3, 1 << 20, 7, 15)])
 def test_collocations(docs, empty, monkeypatch, least, shard, top, part):
     monkeypatch.setattr(collocations, "PART_BITS", part)
-    monkeypatch.setattr(collocations, "VOCABULARY", 64 if part == 5 else 1 << 19)
+    monkeypatch.setattr(collocations, "VOCABULARY", 256 if part == 8 else 1 << 19)
     want = phrases([(r[1], r[2]) for r in ROWS], least, top=top)
     same([tuple(r) for r in collocations.collocations(docs, least=least, top=top, shard=shard).collect()], want)
     assert len(want) > 10
