@@ -22,14 +22,37 @@ BATCH_BYTES = 8 << 20
 TABLE_BITS = 22
 
 
+#: Frees the shuffle files of a query once it has run.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder of the session and read it back.
 
-    Cuts the lineage: an executor that is lost later costs no more than its own tasks.
+    Cuts the lineage: an executor that is lost later costs no more than its own tasks. The shuffle files behind the table
+    are freed with its write; the table itself stays until ``release``.
     """
-    folder = shared_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    folder = shared_folder(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out._staged_folder = folder
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more; others are left alone."""
+    for t in tables:
+        folder = getattr(t, "_staged_folder", None)
+        if folder is not None:
+            jvm = t.sparkSession._jvm
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:

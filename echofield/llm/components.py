@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echofield.llm.common import staged
+from echofield.llm.common import release, staged
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -28,6 +28,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         top = step.select(F.col("node").alias("root"), F.col("root").alias("_top"))
         new = staged(step.join(top, "root", "left").select("node", F.coalesce("_top", "root").alias("root")), "roots")
         same = new.join(roots.withColumnRenamed("root", "_old"), "node").filter("root <> _old").isEmpty()
+        release(step, roots)
         if same:
+            release(both)
             return new
         roots = new

@@ -7,7 +7,9 @@
 * Neighbours in an order with a common prefix are candidates. A region of at most ``REACH + 1`` classes with a common
   first hash gives all its pairs; in a denser one the ``REACH`` nearest are those with the longest common prefixes, and
   all its classes are marked as cut. Rows at the edges of partitions meet in a second, small pass.
-* Candidates are confirmed on full sets: first the best of each class, then those between classes that the first
+* Candidates whose sketches (how many shingles of a set fall in each of ``SKETCH`` buckets) leave no room for an intersection over
+  the threshold are out before any set moves; that bound is exact.
+* The others are confirmed on full sets: first the best of each class, then those between classes that the first
   links have not already connected.
 * The cut classes are finished by an exact join: shingles are ordered from rare to common, two sets over the
   threshold share one of their first ones, and the places there and the lengths leave few pairs. Pairs inside a component
@@ -29,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from echofield.llm.common import TABLE_BITS, bit_table, in_table, shuffle_width, slices, staged, with_group
+from echofield.llm.common import TABLE_BITS, bit_table, in_table, release, shuffle_width, slices, staged, with_group
 from echofield.llm.components import components
 
 SHINGLE = 5
@@ -44,6 +46,8 @@ TALLY_BITS = 20
 HOT_BLOCK = 4096
 MEET_PAIRS = 1 << 20
 BLOCK_BYTES = 4 << 20
+#: Buckets of the sketch of a set; a bucket holds up to FULL, which stands for any larger number.
+SKETCH, FULL = 128, 255
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -136,8 +140,13 @@ def signature(s: np.ndarray) -> np.ndarray:
     return (low >> np.uint64(32)).astype(">u4")
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """How many shingles of a set fall in each bucket."""
+    return np.minimum(np.bincount((s >> np.uint64(57)).astype(np.int64), minlength=SKETCH), FULL).astype(np.uint8).tobytes()
+
+
 def _classes(docs: DataFrame, text: str, id_col: str, keep: tuple[str, ...]) -> DataFrame:
-    """``_id``, the kept columns, ``_n``, ``_cls`` (null for no words) and ``_sig`` of every row."""
+    """``_id``, the kept columns, ``_n``, ``_cls`` (null for no words), ``_sig`` and ``_sk`` of every row."""
     names = ["_id", *[f"_keep{i}" for i in range(len(keep))]]
     d = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"), *[F.col(c).alias(n) for c, n in zip(keep, names[1:])])
 
@@ -147,10 +156,11 @@ def _classes(docs: DataFrame, text: str, id_col: str, keep: tuple[str, ...]) ->
             columns = [
                 pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *columns], [*names, "_n", "_cls", "_sig"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *columns], [*names, "_n", "_cls", "_sig", "_sk"])
 
-    kinds = [("_n", T.LongType()), ("_cls", T.BinaryType()), ("_sig", T.BinaryType())]
+    kinds = [("_n", T.LongType()), ("_cls", T.BinaryType()), ("_sig", T.BinaryType()), ("_sk", T.BinaryType())]
     return d.mapInArrow(run, T.StructType([*[d.schema[n] for n in names], *[T.StructField(n, k) for n, k in kinds]]))
 
 
@@ -223,8 +233,8 @@ def _edge(b: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["_tree", "_x", "_y", "_m", "_n", "_label", "_label2", "_edge"])
 
 
-def candidates(classes: DataFrame, threshold: int, trees: int = TREES) -> tuple[DataFrame, DataFrame]:
-    """``_a`` < ``_b`` and ``_trees`` (in how many trees they met) of all candidate pairs of classes, and ``_cls`` of the cut classes."""
+def candidates(classes: DataFrame, threshold: int, trees: int = TREES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``_a`` < ``_b`` and ``_trees`` (in how many trees they met) of all candidate pairs of classes, ``_cls`` of the cut classes, and the staged table of both."""
     labels = F.explode(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
         t.alias("_tree"), F.substring("_sig", t * (4 * DEPTH) + 1, F.lit(4 * DEPTH)).alias("_label"))))
     flat = classes.select("_cls", "_n", labels.alias("_l")).select("_l._tree", "_l._label", "_cls", "_n")
@@ -249,11 +259,11 @@ def candidates(classes: DataFrame, threshold: int, trees: int = TREES) -> tuple[
     for m in met:
         pairs = pairs.unionByName(m)
     pairs = pairs.select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b"), "_tree").distinct()
-    return pairs.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_trees")), cut[0].union(cut[1]).union(cut[2]).distinct()
+    return pairs.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_trees")), cut[0].union(cut[1]).union(cut[2]).distinct(), found
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, text: str, id_col: str) -> DataFrame:
-    """``_cls`` and ``_set`` of the classes in ``wanted`` (``_cls``, ``_one``), from the text of one row each.
+    """``_cls``, ``_set`` and ``_cut`` of the classes in ``wanted`` (``_cls``, ``_one``, ``_cut``), from the text of one row each.
 
     A bit table of fixed size holds back the other texts before the shuffle.
     """
@@ -261,16 +271,39 @@ def _sets(docs: DataFrame, wanted: DataFrame, text: str, id_col: str) -> DataFra
     d = docs.select(F.col(id_col).alias("_one"), F.col(text).alias("_text"), table.scalar().alias("_table"))
     d = d.filter(in_table("_table", ["_one"], TABLE_BITS)).select("_one", "_text")
     same = d["_one"].eqNullSafe(wanted["_one"])
-    d = d.join(wanted, same).select("_cls", "_text")
+    d = d.join(wanted, same).select("_cls", "_text", "_cut")
 
     def run(batches):
         for batch in slices(batches, "_text"):
             sets = [shingles(t) for t in batch.column("_text").to_pylist()]
             own = [len(s) > 0 and digest(s) == c for s, c in zip(sets, batch.column("_cls").to_pylist())]
             keep = [i for i, ok in enumerate(own) if ok]
-            yield pa.RecordBatch.from_arrays([batch.column("_cls").take(pa.array(keep, pa.int64())), pa.array([sets[i].tobytes() for i in keep], pa.binary())], ["_cls", "_set"])
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("_cls").take(at), pa.array([sets[i].tobytes() for i in keep], pa.binary()), batch.column("_cut").take(at)], ["_cls", "_set", "_cut"])
+
+    return d.mapInArrow(run, "_cls binary, _set binary, _cut boolean")
+
+
+def possible(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """The pairs whose sketches and sizes do not rule out 100 * intersection >= threshold * union."""
+    side = lambda c, n, sk: classes.select(F.col("_cls").alias(c), F.col("_n").alias(n), F.col("_sk").alias(sk))
+    p = pairs.join(side("_a", "_n", "_s"), "_a").join(side("_b", "_m", "_t"), "_b")
+
+    names = pairs.columns
 
-    return d.mapInArrow(run, "_cls binary, _set binary")
+    def buckets(column: pa.Array) -> np.ndarray:
+        x = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int64)
+        x[x == FULL] = 1 << 40
+        return x
+
+    def run(batches):
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("_n", "_m"))
+            both = np.minimum(np.minimum(buckets(batch.column("_s")), buckets(batch.column("_t"))).sum(1), np.minimum(n, m))
+            good = pa.array(np.flatnonzero(100 * both >= threshold * (n + m - both)))
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(good) for c in names], names)
+
+    return p.select(*names, "_n", "_m", "_s", "_t").mapInArrow(run, pairs.schema)
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -309,32 +342,33 @@ def _tally(sets: DataFrame) -> np.ndarray:
     return out
 
 
-def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
-    """The first shingles of each set (``_cls``, ``_set``, ``_root``) from rare to common, so many that two sets over the threshold share one.
+def _prefixes(sets: DataFrame, roots: DataFrame, threshold: int) -> DataFrame:
+    """The first shingles of each cut set (``_tok``, ``_cls``, ``_root``, ``_n``, ``_cap``) from rare to common, so many that two sets over the threshold share one.
 
-    ``_cap`` is the largest set that can still reach the threshold when this is the first common shingle.
+    ``_cap`` is the largest set that can still reach the threshold when this is the first common shingle. Only these shingles
+    leave the task, not the sets.
     """
     shared = sets.sparkSession.sparkContext.broadcast(_tally(sets))
-    names = ["_tok", "_cls", "_root", "_n", "_cap"]
 
     def run(batches):
         times = shared.value
         for batch in slices(batches, "_set", 1 << 20):
-            toks, caps, sizes, width = [], [], [], []
+            entries, sizes = [], []
             for raw in batch.column("_set").to_pylist():
                 s = np.frombuffer(raw, np.uint64)
                 n = len(s)
                 first = n - (threshold * n + 99) // 100 + 1
-                toks.append(s[np.lexsort((s, times[(s >> np.uint64(64 - TALLY_BITS)).astype(np.int64)]))[:first]].view(np.int64))
-                caps.append(((100 + threshold) * (n - np.arange(first)) - threshold * n) // threshold)
-                sizes.append(np.full(first, n))
-                width.append(first)
-            if width:
-                at = pa.array(np.repeat(np.arange(len(width)), width))
-                columns = [pa.array(np.concatenate(toks)), batch.column("_cls").take(at), batch.column("_root").take(at), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(caps))]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                toks = s[np.lexsort((s, times[(s >> np.uint64(64 - TALLY_BITS)).astype(np.int64)]))[:first]].view(np.int64)
+                caps = ((100 + threshold) * (n - np.arange(first)) - threshold * n) // threshold
+                entries.append(pa.StructArray.from_arrays([pa.array(toks), pa.array(caps.astype(np.int64))], ["_tok", "_cap"]))
+                sizes.append(n)
+            if sizes:
+                edges = pa.array(np.concatenate([[0], np.cumsum([len(e) for e in entries])]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column("_cls"), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(edges, pa.concat_arrays(entries))], ["_cls", "_n", "_e"])
 
-    return sets.mapInArrow(run, "_tok bigint, _cls binary, _root binary, _n bigint, _cap bigint")
+    cut = sets.filter("_cut").mapInArrow(run, "_cls binary, _n bigint, _e array<struct<_tok: bigint, _cap: bigint>>")
+    cut = cut.join(roots.select(F.col("node").alias("_cls"), F.col("root").alias("_root")), "_cls", "left")
+    return cut.select("_cls", F.coalesce("_root", "_cls").alias("_root"), "_n", F.explode("_e").alias("_e")).select("_e._tok", "_cls", "_root", "_n", "_e._cap")
 
 
 def _words(column: pa.Array) -> np.ndarray:
@@ -366,23 +400,21 @@ def _meet(b: pa.RecordBatch):
 
 
 def _meetings(batches):
+    """Groups come with their stored rows first, so that only those of the last group wait for the next batch, however many ask."""
     carry = None
     for batch in batches:
         if not batch.num_rows:
             continue
         joined = batch if carry is None else pa.Table.from_batches([carry, batch]).combine_chunks().to_batches()[0]
+        yield from _meet(joined)
         tok, block = joined.column("_tok").to_numpy(), joined.column("_block").to_numpy()
-        last = int(np.flatnonzero((tok != tok[-1]) | (block != block[-1])).max(initial=-1)) + 1
-        if last:
-            yield from _meet(joined.slice(0, last))
-        carry = joined.slice(last)
-    if carry is not None:
-        yield from _meet(carry)
+        last = (tok == tok[-1]) & (block == block[-1]) & ~joined.column("_asks").to_numpy(zero_copy_only=False)
+        carry = joined.take(pa.array(np.flatnonzero(last)))
 
 
-def finishing(sets: DataFrame, threshold: int) -> DataFrame:
-    """``_a`` < ``_b`` of all pairs of sets with different ``_root`` that can reach the threshold, by their first common shingle."""
-    entries = staged(_prefixes(sets, threshold), "forest-prefixes")
+def finishing(sets: DataFrame, roots: DataFrame, threshold: int) -> DataFrame:
+    """``_a`` < ``_b`` of all pairs of cut sets with different roots that can reach the threshold, by their first common shingle."""
+    entries = staged(_prefixes(sets, roots, threshold), "forest-prefixes")
     groups = entries.groupBy("_tok").agg(F.count(F.lit(1)).alias("_size"), F.min("_root").alias("_r"), F.max("_root").alias("_s"), F.max((F.col("_cap") >= F.col("_n")).cast("int")).alias("_any"))
     groups = staged(groups.filter("_r <> _s and _any = 1").select("_tok", "_size"), "forest-tokens")
     rows = with_group(entries, groups, "_tok", "_size", entries.count()).filter("_size is not null")
@@ -390,8 +422,11 @@ def finishing(sets: DataFrame, threshold: int) -> DataFrame:
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
     own = rows.withColumn("_block", F.pmod(F.xxhash64("_cls"), F.col("_blocks"))).withColumn("_asks", F.lit(False))
     ask = rows.filter("_cap >= _n").withColumn("_block", every).withColumn("_asks", F.lit(True))
-    dealt = own.unionByName(ask).drop("_blocks").repartition(shuffle_width(sets), "_tok", "_block").sortWithinPartitions("_tok", "_block", "_n")
-    return dealt.mapInArrow(_meetings, "_x binary, _y binary").select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b")).distinct()
+    dealt = own.unionByName(ask).drop("_blocks").repartition(shuffle_width(sets), "_tok", "_block").sortWithinPartitions("_tok", "_block", "_asks", "_n")
+    met = dealt.mapInArrow(_meetings, "_x binary, _y binary").select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b")).distinct()
+    met = staged(met, "forest-met")
+    release(entries, groups)
+    return met
 
 
 def near_dedup(
@@ -408,13 +443,17 @@ def near_dedup(
     """
     rows = staged(_classes(docs, text, id_col, keep), "forest-rows")
     members = rows.filter(F.col("_cls").isNotNull()).groupBy("_cls").agg(
-        F.min("_id").alias("_one"), F.count(F.lit(1)).alias("_size"), F.first("_n").alias("_n"), F.first("_sig").alias("_sig")
+        F.min("_id").alias("_one"), F.count(F.lit(1)).alias("_size"), F.first("_n").alias("_n"), F.first("_sig").alias("_sig"), F.first("_sk").alias("_sk")
     )
     members = staged(members, "forest-classes")
-    pairs, cut = (staged(d, name) for d, name in zip(candidates(members, threshold), ("forest-candidates", "forest-cut")))
-
-    ends = pairs.select(F.col("_a").alias("_cls")).union(pairs.select(F.col("_b").alias("_cls"))).union(cut).distinct()
-    wanted = staged(members.select("_cls", "_one").join(ends, "_cls", "left_semi"), "forest-wanted")
+    found, cut, sorted_runs = candidates(members, threshold)
+    found, cut = staged(found, "forest-candidates"), staged(cut, "forest-cut")
+    pairs = staged(possible(found, members, threshold), "forest-possible")
+    release(found, sorted_runs)
+
+    ends = pairs.select(F.col("_a").alias("_cls"), F.lit(False).alias("_cut")).union(pairs.select("_b", F.lit(False))).union(cut.select("_cls", F.lit(True)))
+    ends = ends.groupBy("_cls").agg(F.bool_or("_cut").alias("_cut"))
+    wanted = staged(members.select("_cls", "_one").join(ends, "_cls"), "forest-wanted")
     sets = staged(_sets(docs, wanted, text, id_col), "forest-sets")
 
     best = pairs.select(F.col("_a").alias("_cls"), "_a", "_b", "_trees").union(pairs.select(F.col("_b").alias("_cls"), "_a", "_b", "_trees"))
@@ -423,27 +462,36 @@ def near_dedup(
     links = staged(confirm(best, sets, threshold), "forest-links")
     roots = components(links, "_a", "_b")
 
-    root = lambda side, name: roots.select(F.col("node").alias(side), F.col("root").alias(name))
-    rest = pairs.select("_a", "_b").join(best, ["_a", "_b"], "left_anti").join(root("_a", "_ra"), "_a", "left").join(root("_b", "_rb"), "_b", "left")
-    rest = staged(rest.filter("_ra is null or _rb is null or _ra <> _rb").select("_a", "_b"), "forest-rest")
+    def apart(some: DataFrame) -> DataFrame:
+        """The pairs that no link has connected yet."""
+        root = lambda side, name: roots.select(F.col("node").alias(side), F.col("root").alias(name))
+        d = some.select("_a", "_b").join(root("_a", "_ra"), "_a", "left").join(root("_b", "_rb"), "_b", "left")
+        return d.filter("_ra is null or _rb is null or _ra <> _rb").select("_a", "_b")
+
+    rest = staged(apart(pairs.join(best, ["_a", "_b"], "left_anti")), "forest-rest")
     more = staged(confirm(rest, sets, threshold), "forest-more")
     if not more.isEmpty():
         links = links.unionByName(more)
+        release(roots)
         roots = components(links, "_a", "_b")
+    release(wanted, best, rest)
 
     if not cut.isEmpty():
-        open_sets = sets.join(cut, "_cls", "left_semi").join(root("_cls", "_root"), "_cls", "left")
-        open_sets = staged(open_sets.select("_cls", "_set", F.coalesce("_root", "_cls").alias("_root")), "forest-open")
-        last = staged(finishing(open_sets, threshold).join(pairs, ["_a", "_b"], "left_anti"), "forest-last")
-        last = staged(confirm(last, sets, threshold), "forest-finished")
-        if not last.isEmpty():
-            roots = components(links.unionByName(last), "_a", "_b")
+        met = finishing(sets, roots, threshold)
+        last = staged(possible(apart(met.join(pairs, ["_a", "_b"], "left_anti")), members, threshold), "forest-last")
+        final = staged(confirm(last, sets, threshold), "forest-finished")
+        if not final.isEmpty():
+            old, roots = roots, components(links.unionByName(final), "_a", "_b")
+            release(old)
+        release(met, last)
+    release(sets, pairs, cut)
 
     named = members.join(roots.withColumnRenamed("node", "_cls"), "_cls", "left").filter("root is not null or _size > 1")
     named = named.select("_cls", "_one", "_size", F.coalesce("root", "_cls").alias("_root"))
     tops = named.groupBy("_root").agg(F.min("_one").alias("_component"))
     named = staged(named.join(tops, "_root").select("_cls", "_size", "_component"), "forest-components")
-    out = with_group(rows.drop("_sig"), named, "_cls", "_size", rows.count())
+    release(members, roots)
+    out = with_group(rows.drop("_sig", "_sk"), named, "_cls", "_size", rows.count())
     component = F.when(F.col("_size").isNull(), F.col("_id")).otherwise(F.col("_component"))
     return out.select(
         F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("_id")).alias("kept"),

@@ -309,3 +309,36 @@ def test_wand_skips_and_stays_exact():
 
 def test_counts_by_hand():
     assert bpe.byte_alphabet()[32] == "Ġ" and hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_near_dedup_of_a_common_token(spark, monkeypatch):
+    """Thousands of classes that share their rarest shingles: groups larger than a block meet block by block, all of them ask."""
+    monkeypatch.setattr(lsh_forest, "HOT_BLOCK", 16)
+    monkeypatch.setattr(lsh_forest, "REACH", 1)
+    line = " ".join(f"l{i}" for i in range(60))
+    rows = [(i, f"{line} " + " ".join(f"v{i // 2}x{k}" for k in range(12)) + f" e{i}") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: r.component_id for r in lsh_forest.near_dedup(frame).collect()}
+    assert got == {r[0]: c for r, (_, c) in zip(rows, data.near_components(rows))}
+
+
+def test_sketches_bound_intersections():
+    """No pair over the threshold is ruled out, and most pairs of other texts are."""
+    rng = np.random.default_rng(4)
+    for n in (3, 40, 700, 40_000):
+        s = rng.integers(0, 2**63, n).astype(np.uint64)
+        t = np.concatenate([s[: n - n // 10], rng.integers(0, 2**63, n // 10).astype(np.uint64)])
+        a, b = (np.frombuffer(lsh_forest.sketch(x), np.uint8).astype(int) for x in (s, t))
+        a[a == 255], b[b == 255] = n, n
+        assert np.minimum(a, b).sum() >= n - n // 10
+
+
+def test_lm_weights_do_not_depend_on_worker_reuse(spark):
+    """Each task starts from the round's weights, whichever worker it runs in and whatever that worker ran before."""
+    docs = spark.createDataFrame([(i, data.text(i, 60)) for i in range(400)], "doc_id bigint, text string").repartition(24, "doc_id")
+    docs = staged(docs, "test-docs")
+    first, second = (maxent.train(d, key=F.col("doc_id"))[0] for d in (docs, docs))
+    assert (first.to_class == second.to_class).all() and (first.to_word == second.to_word).all()
+    # The changes of tasks that start from the same weights are averages: as small as one task's.
+    whole = maxent.train(docs.coalesce(1), key=F.col("doc_id"))[0]
+    assert np.abs(first.to_class).sum() <= 1.5 * np.abs(whole.to_class).sum()
