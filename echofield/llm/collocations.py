@@ -14,9 +14,9 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,38 +29,41 @@ from echofield.llm.lsh_forest import _mixed
 
 LEAST, LONGEST, COVER, TOP = 10, 3, 50, 2000
 UNDEFINED = "und"
-TOKEN = re.compile(r"[^\x20\x09-\x0D.,;:!?]+|[.,;:!?\x0A-\x0D]")
-BREAKS = frozenset(".,;:!?\n\x0b\x0c\r")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+BREAK = b"."
+#: White space inside pieces as it is, everything that ends a piece as one break.
+SPLITS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
 #: log2 of the numbers in one part of the vocabulary, which is about half full.
 PART_BITS = 15
 #: Words that go to the tasks at once, and phrases in one trie.
 VOCABULARY, SHARD = 1 << 19, 1 << 20
 #: Positions whose states move at once; windows that a task adds up before it hands them on.
-POSITIONS, HELD = 1 << 18, 1 << 20
-BUCKET_BITS = 40
+POSITIONS, HELD = 1 << 18, 3 << 20
+BUCKET_BITS = 62
 
 
-def tokens(text: str | None) -> list[str]:
-    """Words and breaks of a whole text with A-Z in lower case."""
-    return TOKEN.findall((text or "").translate(LOWER))
+def tokens(text: bytes | None) -> list[bytes]:
+    """Words and breaks of a whole text (UTF-8) with A-Z in lower case."""
+    return (text or b"").lower().translate(SPLITS).replace(BREAK, b" . ").split()
+
+
+def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
+    return batch.column("_text").cast(pa.binary()).to_pylist()
 
 
 def count_words(docs: DataFrame) -> DataFrame:
     """``lang``, ``word`` and ``f`` of every word; each task adds up first."""
 
     def run(batches):
-        held: dict[str, Counter] = defaultdict(Counter)
+        held: dict[str, Counter[bytes]] = defaultdict(Counter)
 
         def out():
             for lang, c in held.items():
-                for b in BREAKS & c.keys():
-                    del c[b]
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["lang", "word", "f"])
+                c.pop(BREAK, None)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.binary()).cast(pa.string()), pa.array(list(c.values()), pa.int64())], ["lang", "word", "f"])
             held.clear()
 
         for batch in slices(batches, "_text"):
-            for lang, text in zip(batch.column("_lang").to_pylist(), batch.column("_text").to_pylist()):
+            for lang, text in zip(batch.column("_lang").to_pylist(), _texts(batch)):
                 held[lang].update(tokens(text))
             if sum(map(len, held.values())) > HELD // 2:
                 yield from out()
@@ -87,19 +90,19 @@ def as_numbers(docs: DataFrame, words: DataFrame) -> DataFrame:
     known = None
     for first in range(0, parts, at_once):
         mine = words.filter(F.col("_part").between(first, first + at_once - 1)).select("lang", "word", "id").toArrow()
-        numbers: dict[str, dict[str, int]] = defaultdict(dict)
+        numbers: dict[str, dict[bytes, int]] = defaultdict(dict)
         for lang, word, i in zip(*(mine.column(c).to_pylist() for c in ("lang", "word", "id"))):
-            numbers[lang][word] = i
+            numbers[lang][word.encode()] = i
         shared = docs.sparkSession.sparkContext.broadcast(dict(numbers))
 
         def run(batches):
             for batch in slices(batches, "_text"):
                 out = []
                 before = batch.column("_ids").to_pylist() if "_ids" in batch.schema.names else None
-                for k, (lang, text) in enumerate(zip(batch.column("_lang").to_pylist(), batch.column("_text").to_pylist())):
+                for k, (lang, text) in enumerate(zip(batch.column("_lang").to_pylist(), _texts(batch))):
                     get = shared.value.get(lang, {}).get
                     t = tokens(text)
-                    ids = np.fromiter((get(w, 0) for w in t), np.int32, len(t))
+                    ids = np.fromiter(map(get, t, repeat(0)), np.int32, len(t))
                     out.append((ids if before is None else np.maximum(ids, np.frombuffer(before[k], np.int32))).tobytes())
                 columns = [batch.column(c) for c in ("_lang", "_text")] if more else []
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], [*(("_lang", "_text") if more else ()), "_ids"])
@@ -137,7 +140,10 @@ def _windows(ids: np.ndarray, size: int) -> np.ndarray:
 
 
 def _distinct(x: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort(x.T[::-1])
+    if x.shape[1] == 2:
+        order = np.argsort(x[:, 0].astype(np.int64) << 32 | x[:, 1], kind="stable")
+    else:
+        order = np.lexsort(x.T[::-1])
     x = x[order]
     first = np.flatnonzero(np.append(True, (x[1:] != x[:-1]).any(1)))
     return x[first], np.add.reduceat(n[order], first)
@@ -173,8 +179,13 @@ def candidates(ids: DataFrame, size: int, least: int) -> DataFrame:
             yield out()[2]
 
     found = ids.mapInArrow(run, "_bucket bigint, " + ", ".join(f"{c} bigint" for c in names) + ", _n bigint")
-    both = found.groupBy("_bucket").agg(F.sum("_n").alias("_n"), F.collect_set(F.struct(*names)).alias("_p"))
-    return both.filter(F.col("_n") >= least).select(F.explode("_p").alias("_p")).select("_p.*")
+    ends = [e for c in names for e in (F.min(c).alias(c), F.max(c).alias(f"_{c}"))]
+    full = staged(found.groupBy("_bucket").agg(F.sum("_n").alias("_n"), *ends).filter(F.col("_n") >= least), "phrase-buckets")
+    one = " and ".join(f"{c} = _{c}" for c in names)
+    shared = full.filter(f"not ({one})").select("_bucket")
+    out = full.filter(one).select(*names)
+    # Buckets of several phrases are next to none; only for them the windows are made again.
+    return out if shared.isEmpty() else out.unionByName(found.join(shared, "_bucket", "left_semi").select(*names).distinct())
 
 
 def _safe_windows(batch: pa.RecordBatch, size: int):
@@ -415,6 +426,6 @@ def collocations(
     two = two.join(longer, ["w0", "w1"], "left").filter(F.coalesce(100 * F.col("_longer") < cover * F.col("a"), F.lit(True)))
     out = two.select("lang", "phrase", "a", "_cut").unionByName(three)
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.col("_cut.score").desc(), F.col("a").desc(), "phrase"))
-    out = out.withColumn("rank", rank.cast("bigint"))
+    out = out.withColumn("rank", rank)
     out = out if top is None else out.filter(F.col("rank") <= top)
-    return out.join(sizes, "lang").select("lang", "rank", "phrase", "a", F.col("_cut.l").alias("l"), F.col("_cut.r").alias("r"), "n", F.col("_cut.score").alias("score"))
+    return out.join(sizes, "lang").select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", F.col("_cut.l").alias("l"), F.col("_cut.r").alias("r"), "n", F.col("_cut.score").alias("score"))

@@ -15,7 +15,6 @@ neighbouring word extends. Texts are independent; a task takes them in batches o
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 from itertools import count
 
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from echofield.llm.common import WORD, slices
+from echofield.llm.common import slices
 
 #: A prime with roots of unity of every order up to 2^27, and a generator. Products of two residues fit in 62 bits.
 P, GENERATOR = 2013265921, 31
@@ -34,7 +33,6 @@ REPEATS, LEAST = 4, 6
 BATCH_BYTES = 1 << 20
 CHUNK = 1 << 15
 _P = np.uint64(P)
-_WORDS = re.compile(WORD)
 RUNS = T.ArrayType(T.StructType([T.StructField(n, T.LongType()) for n in ("start", "length", "period")]))
 
 
@@ -180,15 +178,15 @@ def runs(texts: list[np.ndarray], repeats: int = REPEATS, least: int = LEAST) ->
     return [sorted(r, key=lambda x: (x[0], x[2])) for r in found]
 
 
-def _collapsed(words: list[str], found: list[tuple[int, int, int]]) -> str:
+def _collapsed(words: list[bytes], found: list[tuple[int, int, int]]) -> bytes:
     if not found:
-        return " ".join(words)
+        return b" ".join(words)
     depth = np.zeros(len(words) + 1, np.int64)
     for start, length, period in found:
         depth[start + period] += 1
         depth[start + length] -= 1
     kept = np.flatnonzero(np.cumsum(depth[:-1]) == 0)
-    return " ".join([words[i] for i in kept.tolist()])
+    return b" ".join([words[i] for i in kept.tolist()])
 
 
 def periodic_runs(
@@ -209,9 +207,9 @@ def periodic_runs(
 
     def run(batches):
         for batch in slices(batches, "_text", BATCH_BYTES):
-            words = [_WORDS.findall(t or "") for t in batch.column("_text").to_pylist()]
+            words = [(t or b"").split() for t in batch.column("_text").cast(pa.binary()).to_pylist()]
             number = count()
-            numbers: dict[str, int] = {}
+            numbers: dict[bytes, int] = {}
             ids = []
             for w in words:
                 for x in set(w):
@@ -222,7 +220,7 @@ def periodic_runs(
             columns = [
                 pa.array([len(w) for w in words], pa.int64()),
                 pa.array([[dict(zip(("start", "length", "period"), r)) for r in f] for f in found], kind),
-                pa.array([_collapsed(w, f) for w, f in zip(words, found)], pa.string()),
+                pa.array([_collapsed(w, f) for w, f in zip(words, found)], pa.binary()).cast(pa.string()),
             ]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *columns], [*names, "n_words", "runs", "collapsed"])
 
