@@ -98,7 +98,7 @@ def test_dense_topn_exact_in_blocks_with_copies_and_filter(spark):
     queries = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(q)], "query_id long, embedding array<double>")
     unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
     sims = np.round(unit(q) @ unit(v).T, 6)
-    filters = {2: {"kind": ["a"]}}
+    filters = spark.createDataFrame([(2, "kind", "a")], "query_id long, column string, value string")
     got = rt.dense_topn(queries, corpus, 7, filters, block_bytes=128).collect()
     for j in range(5):
         ids = [i for i in range(300) if j != 2 or i % 2 == 0]
