@@ -307,7 +307,10 @@ def possible(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= threshold * union."""
+    """The pairs whose full sets have 100 * intersection >= threshold * union. Sets of no pair stay where they are."""
+    ends = pairs.select(F.col("_a").alias("_cls")).union(pairs.select("_b"))
+    table = staged(bit_table(ends, ["_cls"], TABLE_BITS), "forest-ends")
+    sets = sets.select("_cls", "_set", table.scalar().alias("_table")).filter(in_table("_table", ["_cls"], TABLE_BITS)).drop("_table")
     p = pairs.select("_a", "_b").join(sets.select(F.col("_cls").alias("_a"), F.col("_set").alias("_s")), "_a")
     p = p.join(sets.select(F.col("_cls").alias("_b"), F.col("_set").alias("_t")), "_b").select("_a", "_b", "_s", "_t")
 
