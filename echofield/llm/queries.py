@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the documents of two folds of three."""
     d = table(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", fold(3) == 1)
-    return language.identify(d, ~F.col("held_out"), keep=("held_out",))
+    return language.identify(d, ~F.col("held_out"), keep=("held_out",)).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
 @query("op2_quality")
@@ -108,7 +108,8 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probability of every document, learned from six folds of seven."""
     d = table(spark, sf_dir).select("doc_id", "text").withColumn("held_out", fold(7) == 2)
     model, counts = maxent.train(d.filter(~F.col("held_out")), key=F.col("doc_id"))
-    return maxent.score(d, model, counts, keep=("held_out",))
+    scores = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return maxent.score(d, model, counts, keep=("held_out",)).select("doc_id", "held_out", *scores)
 
 
 MIX_SQL = r"""
@@ -151,7 +152,7 @@ select doc_id, size, source_size, target, copies::bigint as copies, (size * copi
 @query("op6_mix_sources", MIX_SQL)
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents to the source weights."""
-    return mixing.mix(table(spark, sf_dir))
+    return mixing.mix(table(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 EXACT_SQL = r"""
