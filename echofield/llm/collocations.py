@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from echofield.llm.common import slices, staged
+from echofield.llm.common import release, slices, staged
 from echofield.llm.lsh_forest import _mixed
 
 LEAST, LONGEST, COVER, TOP = 10, 3, 50, 2000
@@ -37,7 +37,7 @@ PART_BITS = 15
 #: Words that go to the tasks at once, and phrases in one trie.
 VOCABULARY, SHARD = 1 << 19, 1 << 20
 #: Positions whose states move at once; windows that a task adds up before it hands them on.
-POSITIONS, HELD = 1 << 18, 3 << 20
+POSITIONS, HELD = 1 << 18, 3 << 19
 BUCKET_BITS = 62
 
 
@@ -180,7 +180,7 @@ def candidates(ids: DataFrame, size: int, least: int) -> DataFrame:
 
     found = ids.mapInArrow(run, "_bucket bigint, " + ", ".join(f"{c} bigint" for c in names) + ", _n bigint")
     ends = [e for c in names for e in (F.min(c).alias(c), F.max(c).alias(f"_{c}"))]
-    full = staged(found.groupBy("_bucket").agg(F.sum("_n").alias("_n"), *ends).filter(F.col("_n") >= least), "phrase-buckets")
+    full = staged(found.repartition("_bucket").groupBy("_bucket").agg(F.sum("_n").alias("_n"), *ends).filter(F.col("_n") >= least), "phrase-buckets")
     one = " and ".join(f"{c} = _{c}" for c in names)
     shared = full.filter(f"not ({one})").select("_bucket")
     out = full.filter(one).select(*names)
@@ -317,24 +317,50 @@ def build(phrases: np.ndarray) -> tuple[Trie, np.ndarray]:
     return Trie(slots.base, slots.owner, rows.shape[1]), out
 
 
-def _shards(phrases: DataFrame, size: int, shard: int) -> list[np.ndarray]:
-    """Rows of word numbers of one shard after the other, each of about ``shard`` rows."""
+#: Bytes of a trie in one row of its table.
+PIECE = 4 << 20
+
+
+def _tries(phrases: DataFrame, size: int, shard: int) -> tuple[DataFrame, int]:
+    """The tries of all shards, built by one task each and written, and the number of shards.
+
+    Rows are either a piece of the two arrays of a trie (``_piece``, ``_bytes``) or a phrase with its accepting slot (``_slot``, ``w0`` ..).
+    """
     names = [f"w{k}" for k in range(size)]
-    n = phrases.count()
-    parts = -(-n // shard)
-    for k in range(parts):
-        mine = phrases if parts == 1 else phrases.filter(F.pmod(F.xxhash64(*names), F.lit(parts)) == k)
-        mine = mine.select(*names).toArrow()
-        yield np.stack([mine.column(c).to_numpy() for c in names], 1).astype(np.int32)
+    parts = -(-phrases.count() // shard)
+    columns = ["_shard", "_piece", "_bytes", "_slot", *names]
+
+    def run(table: pa.Table) -> pa.Table:
+        n = table.num_rows
+        trie, slot = build(np.stack([table.column(c).to_numpy() for c in names], 1).astype(np.int32))
+        raw = np.stack([trie.base, trie.owner]).astype(np.int32).tobytes()
+        pieces = [raw[i : i + PIECE] for i in range(0, len(raw), PIECE)]
+        k = table.column("_shard")[0].as_py()
+        none = lambda m, kind: pa.nulls(m, kind)
+        fill = lambda m: pa.array(np.full(m, k), pa.int64())
+        one = pa.table([fill(len(pieces)), pa.array(range(len(pieces)), pa.int64()), pa.array(pieces, pa.binary()), *[none(len(pieces), pa.int64())] * (1 + size)], columns)
+        two = pa.table([fill(n), none(n, pa.int64()), none(n, pa.binary()), pa.array(slot), *[table.column(c) for c in names]], columns)
+        return pa.concat_tables([one, two])
+
+    dealt = phrases.select(*names, F.pmod(F.xxhash64(*names), F.lit(max(1, parts))).alias("_shard"))
+    kinds = "_shard bigint, _piece bigint, _bytes binary, _slot bigint, " + ", ".join(f"{c} bigint" for c in names)
+    return staged(dealt.groupBy("_shard").applyInArrow(run, kinds), "phrase-tries"), parts
+
+
+def _shared(tries: DataFrame, k: int, size: int):
+    """Broadcast of the trie of one shard; only its arrays pass the driver."""
+    rows = tries.filter((F.col("_shard") == k) & F.col("_piece").isNotNull()).select("_piece", "_bytes").collect()
+    both = np.frombuffer(b"".join(bytes(r["_bytes"]) for r in sorted(rows, key=lambda r: r["_piece"])), np.int32).reshape(2, -1)
+    return tries.sparkSession.sparkContext.broadcast(Trie(both[0], both[1], 4 * size))
 
 
 def count_phrases(ids: DataFrame, phrases: DataFrame, size: int, shard: int) -> DataFrame:
     """``w0`` .. and ``f``: all occurrences of the candidates in the texts, by one pass for each shard."""
-    spark, names = ids.sparkSession, [f"w{k}" for k in range(size)]
+    names = [f"w{k}" for k in range(size)]
+    tries, n = _tries(phrases, size, shard)
     parts = []
-    for rows in _shards(phrases, size, shard):
-        trie, slot = build(rows)
-        shared = spark.sparkContext.broadcast(trie)
+    for k in range(n):
+        shared = _shared(tries, k, size)
 
         def run(batches):
             t = shared.value
@@ -347,11 +373,12 @@ def count_phrases(ids: DataFrame, phrases: DataFrame, size: int, shard: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], ["_slot", "f"])
 
         counted = ids.select("_ids").mapInArrow(run, "_slot bigint, f bigint").groupBy("_slot").agg(F.sum("f").alias("f"))
-        named = pa.table([pa.array(slot), *[pa.array(rows[:, k].astype(np.int64)) for k in range(size)]], names=["_slot", *names])
-        parts.append(staged(spark.createDataFrame(named).join(counted, "_slot").select(*names, "f"), "phrase-counts"))
+        own = tries.filter((F.col("_shard") == k) & F.col("_slot").isNotNull())
+        parts.append(staged(own.join(counted, "_slot").select(*names, "f"), "phrase-counts"))
         shared.unpersist()
+    release(tries)
     if not parts:
-        return spark.createDataFrame([], ", ".join(f"{c} bigint" for c in [*names, "f"]))
+        return ids.sparkSession.createDataFrame([], ", ".join(f"{c} bigint" for c in [*names, "f"]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -360,9 +387,10 @@ def count_phrases(ids: DataFrame, phrases: DataFrame, size: int, shard: int) ->
 
 def marked(ids: DataFrame, phrases: DataFrame, size: int, shard: int) -> DataFrame:
     """``ids`` with ``_safe``: a byte for each place, 1 where one of the ``phrases`` starts."""
+    tries, n = _tries(phrases, size, shard)
     out = ids.select("_ids")
-    for rows in _shards(phrases, size, shard):
-        shared = ids.sparkSession.sparkContext.broadcast(build(rows)[0])
+    for k in range(n):
+        shared = _shared(tries, k, size)
 
         def run(batches):
             for batch in batches:
@@ -377,7 +405,9 @@ def marked(ids: DataFrame, phrases: DataFrame, size: int, shard: int) -> DataFra
                     flags.append(safe.tobytes())
                 yield pa.RecordBatch.from_arrays([batch.column("_ids"), pa.array(flags, pa.binary())], ["_ids", "_safe"])
 
-        out = staged(out.mapInArrow(run, "_ids binary, _safe binary"), "phrase-marks")
+        old, out = out, staged(out.mapInArrow(run, "_ids binary, _safe binary"), "phrase-marks")
+        release(old)
+    release(tries)
     return out
 
 
