@@ -358,7 +358,7 @@ def count_phrases(ids: DataFrame, phrases: DataFrame, size: int, shard: int) ->
     """``w0`` .. and ``f``: all occurrences of the candidates in the texts, by one pass for each shard."""
     names = [f"w{k}" for k in range(size)]
     tries, n = _tries(phrases, size, shard)
-    parts = []
+    cores, parts = max(1, ids.sparkSession.sparkContext.defaultParallelism), []
     for k in range(n):
         shared = _shared(tries, k, size)
 
@@ -372,7 +372,8 @@ def count_phrases(ids: DataFrame, phrases: DataFrame, size: int, shard: int) ->
             hit = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], ["_slot", "f"])
 
-        counted = ids.select("_ids").mapInArrow(run, "_slot bigint, f bigint").groupBy("_slot").agg(F.sum("f").alias("f"))
+        # As many tasks as cores: each adds up more texts, and what they hand on grows with the phrases alone.
+        counted = ids.select("_ids").coalesce(cores).mapInArrow(run, "_slot bigint, f bigint").groupBy("_slot").agg(F.sum("f").alias("f"))
         own = tries.filter((F.col("_shard") == k) & F.col("_slot").isNotNull())
         parts.append(staged(own.join(counted, "_slot").select(*names, "f"), "phrase-counts"))
         shared.unpersist()
