@@ -20,46 +20,81 @@ from echofield.functions import text as tx
 from echofield.functions import vectors as vx
 from echofield.operators import combine, joins, pick
 from echofield.operators.profile import rows_n
-from echofield.sources.tables import written
+from echofield.operators.rows import inlined
+from echofield.sources.tables import spread, written
 
 # --- lexical -----------------------------------------------------------------------------------
 
 
+#: Documents of one block on average. A block is what a search scores or skips as a whole.
+BLOCK_DOCS = 256
+
+
 @dataclass
 class LexicalIndex:
-    """postings (doc_id, dl, term, tf), terms (term, df, idf) and stats (one row: n, avgdl).
+    """blocks (block, term, docs, bound), terms (term, df, idf) and stats (one row: n, avgdl).
 
-    ``write`` stores the parts as Parquet and ``read_index`` opens them again, in another session too.
+    A row of ``blocks`` holds the postings of one term in one block of documents: ``docs`` is an array of (doc_id, dl, tf), and
+    no document adds more than weight x ``bound`` to a score through this term. ``write`` stores the parts as Parquet and
+    ``read_index`` opens them again, in another session too.
     """
 
-    postings: DataFrame
+    blocks: DataFrame
     terms: DataFrame
     stats: DataFrame
 
+    @property
+    def postings(self) -> DataFrame:
+        """(doc_id, dl, term, tf)."""
+        return self.blocks.select("term", F.inline("docs")).select("doc_id", "dl", "term", "tf")
+
     def write(self, folder: str) -> LexicalIndex:
-        self.postings.write.parquet(f"{folder}/postings")
+        self.blocks.write.parquet(f"{folder}/blocks")
         self.terms.write.parquet(f"{folder}/terms")
         self.stats.write.parquet(f"{folder}/stats")
-        return read_index(self.postings.sparkSession, folder)
+        return read_index(self.blocks.sparkSession, folder)
 
 
 def read_index(spark: SparkSession, folder: str) -> LexicalIndex:
-    return LexicalIndex(*[spark.read.parquet(f"{folder}/{part}") for part in ("postings", "terms", "stats")])
+    return LexicalIndex(*[spark.read.parquet(f"{folder}/{part}") for part in ("blocks", "terms", "stats")])
+
+
+def _share(tf: Column, dl: Column, avgdl: Column) -> Column:
+    """What one posting adds to a score for a term of weight 1."""
+    k1, b = fixed.BM25_K1, fixed.BM25_B
+    return tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
+
 
+def lexical_index(docs: DataFrame, text: str = "text", stored: bool = False, block_docs: int = BLOCK_DOCS) -> LexicalIndex:
+    """The index of ``docs`` (doc_id, text); doc_id names one document.
 
-def lexical_index(docs: DataFrame, text: str = "text", stored: bool = False) -> LexicalIndex:
-    """``stored`` writes the counted tokens first, so that the corpus is tokenised once for all parts and all uses."""
-    tokens = docs.select("doc_id", tx.search_tokens(F.coalesce(F.col(text), F.lit(""))).alias("_t"))
+    Documents of like length share blocks, because length decides how much a posting can add: the bounds of blocks of long
+    documents are low. The shuffle by block carries documents with their counted terms; postings are grouped inside the tasks.
+    ``stored`` writes the counted terms and the blocks, so that the corpus is tokenised once for all parts and all uses.
+    """
+    tokens = spread(docs.select("doc_id", text)).select("doc_id", tx.search_tokens(F.coalesce(F.col(text), F.lit(""))).alias("_t"))
     sized = tokens.select("doc_id", F.size("_t").alias("dl"), tx.counted(F.col("_t")).alias("_c"))
     if stored:
-        sized = written(sized, "lexical-index")
-    postings = sized.select("doc_id", "dl", F.inline("_c"))
+        sized = written(sized, "lexical-terms")
     stats = sized.agg(rows_n().alias("n"), F.avg("dl").alias("avgdl"))
-    terms = postings.groupBy("term").agg(rows_n().alias("df")).withColumn("_n", stats.select("n").scalar())
+    terms = inlined(sized, [], F.col("_c"), "term").groupBy("term").agg(rows_n().alias("df")).withColumn("_n", stats.select("n").scalar())
     terms = terms.withColumn("_idf", F.log(F.col("_n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     terms = terms.withColumn("_mean", terms.agg(F.avg("_idf")).scalar())
     idf = F.when(F.col("_idf") < 0, fixed.BM25_EPSILON * F.col("_mean")).otherwise(F.col("_idf"))
-    return LexicalIndex(postings, terms.select("term", "df", idf.alias("idf")), stats)
+    blocks = _blocks(sized, stats, block_docs)
+    return LexicalIndex(written(blocks, "lexical-blocks") if stored else blocks, terms.select("term", "df", idf.alias("idf")), stats)
+
+
+def _blocks(sized: DataFrame, stats: DataFrame, block_docs: int) -> DataFrame:
+    banded = sized.withColumn("_band", F.floor(4 * F.log2(F.col("dl") + 1)))  # a hundred and some bands at most
+    bands = banded.groupBy("_band").agg(F.ceil(rows_n() / block_docs).alias("_parts"))
+    placed = banded.join(F.broadcast(bands), "_band")
+    inside = F.pmod(F.xxhash64("doc_id"), F.col("_parts"))
+    placed = placed.select(F.shiftleft("_band", 40).bitwiseOR(inside).alias("block"), "doc_id", "dl", "_c").repartition("block")
+    postings = inlined(placed, ["block", "doc_id", "dl"], F.col("_c"), "term").withColumn("_avgdl", stats.select("avgdl").scalar())
+    return postings.groupBy("block", "term").agg(
+        F.collect_list(F.struct("doc_id", "dl", "tf")).alias("docs"), F.max(_share(F.col("tf"), F.col("dl"), F.col("_avgdl"))).alias("bound")
+    )
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
@@ -80,22 +115,77 @@ def matching_postings(queries: DataFrame, index: LexicalIndex) -> DataFrame:
     return joins.bounded_join(index.postings, wanted, ["term"], salt_by="doc_id", at_most=bound)
 
 
+def _block_scores(blocks: DataFrame, stats: DataFrame) -> DataFrame:
+    """(query_id, block, doc_id, score) from blocks (query_id, block, weight, docs).
+
+    Rows of blocks are shuffled; their postings are taken out and summed inside the tasks.
+    """
+    p = blocks.repartition("query_id", "block").select("query_id", "block", "weight", F.inline("docs"))
+    p = p.withColumn("_avgdl", stats.select("avgdl").scalar())
+    part = F.col("weight") * _share(F.col("tf"), F.col("dl"), F.col("_avgdl"))
+    return p.groupBy("query_id", "block", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
+
+
+def _weighted_terms(queries: DataFrame, index: LexicalIndex) -> tuple[DataFrame, int]:
+    """(query_id, term, weight), and the bound on its rows for a join."""
+    q = query_terms(queries)
+    wanted = q.join(index.terms, "term").select("query_id", "term", (F.col("qf") * F.col("idf")).alias("weight"))
+    return wanted, 0 if joins.fits(q) else joins.BROADCAST_ROWS + 1
+
+
 def lexical_scores(queries: DataFrame, index: LexicalIndex) -> DataFrame:
-    m = matching_postings(queries, index).withColumn("_avgdl", index.stats.select("avgdl").scalar())
-    k1, b = fixed.BM25_K1, fixed.BM25_B
-    tf = F.col("tf")
-    part = F.col("qf") * F.col("idf") * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / F.col("_avgdl")))
-    return m.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), 6).alias("score"))
+    """(query_id, doc_id, score) of every document that shares a term with the question."""
+    wanted, bound = _weighted_terms(queries, index)
+    met = joins.bounded_join(index.blocks.drop("bound"), wanted, ["term"], salt_by="block", at_most=bound)
+    return _block_scores(met, index.stats).select("query_id", "doc_id", "score")
+
+
+def block_limits(wanted: DataFrame, index: LexicalIndex, at_most: int | None = None) -> DataFrame:
+    """(query_id, block, limit): no document of the block scores more; reads the bounds, not the postings."""
+    met = joins.bounded_join(index.blocks.select("block", "term", "bound"), wanted, ["term"], salt_by="block", at_most=at_most)
+    most = F.sum(F.greatest(F.lit(0.0), F.col("weight") * F.col("bound")))
+    return met.groupBy("query_id", "block").agg(most.alias("limit")).filter("limit > 0")
+
+
+def blocks_left(limits: DataFrame, seeds: DataFrame, first: DataFrame, n: int) -> DataFrame:
+    """(query_id, block) beside ``seeds`` that can still hold one of the n best, given the ranked documents of the seeds.
+
+    Scores are rounded to six digits, so a limit within that of the n-th score stays, and so does an equal one.
+    """
+    nth = first.filter(F.col("rank") == n).select("query_id", F.col("score").alias("_nth"))
+    left = limits.join(seeds.select("query_id", "block"), ["query_id", "block"], "left_anti").join(nth, "query_id", "left")
+    return left.filter(F.col("limit") + 1e-6 >= F.coalesce("_nth", F.lit(0.0))).select("query_id", "block")
 
 
 def lexical_topn(
     queries: DataFrame, index: LexicalIndex, n: int = fixed.SHORTLIST, filters: DataFrame | None = None, docs: DataFrame | None = None
 ) -> DataFrame:
-    """The n best documents per question with a positive score. ``filters`` masks the columns of ``docs`` first."""
-    s = lexical_scores(queries, index).filter(F.col("score") > 0)
+    """The n best documents per question with a positive score. ``filters`` masks the columns of ``docs`` first.
+
+    The most promising blocks of each question are scored first; their n-th score rules out the blocks whose limit is lower,
+    and only the others are read. The answer is that of scoring everything. Filters hold for documents, which the limits do
+    not know, so filtered questions score all their blocks.
+    """
     if filters is not None:
-        s = only_allowed(s, docs, filters)
-    return pick.top_per_group(s, "query_id", "score", "doc_id", n)
+        s = lexical_scores(queries, index).filter(F.col("score") > 0)
+        return pick.top_per_group(only_allowed(s, docs, filters), "query_id", "score", "doc_id", n)
+    wanted, bound = _weighted_terms(queries, index)
+    wanted = written(wanted, "query-terms")
+    limits = written(block_limits(wanted, index, bound), "block-limits")
+    seeds = pick.top_per_group(limits, "query_id", "limit", "block", -(-n // BLOCK_DOCS) + 1)
+
+    def best(pairs: DataFrame) -> DataFrame:
+        needed = wanted.join(pairs.select("query_id", "block"), "query_id")
+        met = index.blocks.select("block", "term", "docs").join(needed, ["block", "term"])
+        s = _block_scores(met, index.stats).filter(F.col("score") > 0)
+        w = W.partitionBy("query_id", "block").orderBy(F.desc("score"), F.asc("doc_id"))  # inside the tasks, as scored
+        s = s.withColumn("_place", F.row_number().over(w)).filter(F.col("_place") <= n)
+        return pick.top_per_group(s.select("query_id", "doc_id", "score"), "query_id", "score", "doc_id", n)
+
+    first = written(best(seeds), "first-blocks")
+    rest = best(blocks_left(limits, seeds, first, n))
+    both = first.drop("rank").unionByName(rest.drop("rank"))
+    return pick.top_per_group(both, "query_id", "score", "doc_id", n)
 
 
 def only_allowed(pairs: DataFrame, docs: DataFrame, filters: DataFrame) -> DataFrame:
@@ -239,13 +329,13 @@ def rescore(shortlist: DataFrame, queries: DataFrame, docs: DataFrame, dense: Da
 def search(
     queries: DataFrame, docs: DataFrame, query_vectors: DataFrame, doc_vectors: DataFrame, k: int = fixed.ANSWER_K,
     variant: str = "hybrid", index: LexicalIndex | None = None, scorer=native_scorer, filters: DataFrame | None = None,
-    facts: DataFrame | None = None, text: str = "text", dense: DataFrame | None = None,
+    facts: DataFrame | None = None, text: str = "text", dense: DataFrame | None = None, lexical: DataFrame | None = None,
 ) -> DataFrame:
     """Top-k (query_id, doc_id, score, rank) for a variant; the score is the cosine where the dense side saw the row.
 
     ``filters`` (query_id, column, value) over the columns of ``facts`` (doc_id, …) holds for both sides before
-    anything is ranked. ``scorer=None`` makes ``rerank`` fall back to ``hybrid``. ``index`` and ``dense`` (the shortlist of
-    the same questions under the same filters) can be handed in, so that several variants share them.
+    anything is ranked. ``scorer=None`` makes ``rerank`` fall back to ``hybrid``. ``index``, ``dense`` and ``lexical`` (the
+    shortlists of the same questions under the same filters) can be handed in, so that several variants share them.
     """
     if variant not in fixed.VARIANTS:
         raise ValueError(f"variant must be one of {fixed.VARIANTS}")
@@ -257,7 +347,8 @@ def search(
     if variant == "dense":
         return dense.filter(F.col("rank") <= k)
     dense = dense.filter(F.col("rank") <= fixed.SHORTLIST)
-    lexical = lexical_topn(queries, index or lexical_index(docs, text), fixed.SHORTLIST, filters, facts)
+    if lexical is None:
+        lexical = lexical_topn(queries, index or lexical_index(docs, text, stored=True), fixed.SHORTLIST, filters, facts)
     order = fuse([dense, lexical])
     cos = dense.select("query_id", "doc_id", "score")
     if variant == "rerank" and scorer is not None:

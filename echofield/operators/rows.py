@@ -93,3 +93,12 @@ def known_categories(df: DataFrame, column: str, order: list[str]) -> DataFrame:
     return df.filter(F.col(column).isin(order)).withColumn(
         "category_order", F.array_position(F.array(*[F.lit(x) for x in order]), F.col(column)).cast("int")
     )
+
+
+def inlined(df: DataFrame, keep: list[str], items: Column, field: str) -> DataFrame:
+    """``keep`` and the fields of each struct of the array ``items``; ``field`` is one that is never null.
+
+    For a plain ``inline`` the optimizer adds a filter on the size of the array and pushes it to the scan, which computes an
+    array made by expressions a second time. The outer form has no such filter; its rows of empty arrays go afterwards.
+    """
+    return df.select(*keep, F.inline_outer(items)).filter(F.col(field).isNotNull())

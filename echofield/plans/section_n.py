@@ -68,15 +68,15 @@ def _dense(t, n=fixed.SHORTLIST):
 
 
 def _lexical(t, n=fixed.SHORTLIST):
-    return rt.lexical_topn(t.queries, rt.lexical_index(_docs(t)), n)
+    return rt.lexical_topn(t.queries, rt.lexical_index(_docs(t), stored=True), n)
 
 
 def _search(t, variant, k=fixed.ANSWER_K):
-    """Variants of one query share the stored index and the stored dense shortlist."""
+    """Variants of one query share the stored shortlists of both sides."""
     if "search_parts" not in t.__dict__:
-        t.search_parts = rt.lexical_index(_docs(t), stored=True), written(_dense(t), "dense")
-    index, dense = t.search_parts
-    return rt.search(t.queries, _docs(t), _query_vectors(t), _doc_vectors(t), k, variant, index=index, dense=dense)
+        t.search_parts = written(_dense(t), "dense"), written(_lexical(t), "lexical")
+    dense, lexical = t.search_parts
+    return rt.search(t.queries, _docs(t), _query_vectors(t), _doc_vectors(t), k, variant, dense=dense, lexical=lexical)
 
 
 def _filters(t):

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from echofield.operators import clusters, combine, order, retrieval, series
+from echofield.operators import clusters, combine, order, retrieval, series, tfidf
 from echofield.sources import tables
 
 
@@ -82,3 +82,53 @@ def test_running_totals_in_skewed_groups(spark):
     for g in ("hot", "cold"):
         xs = sorted(x for h, x in data if h == g)
         assert all(got[(g, x)] == i + 1 for i, x in enumerate(xs))
+
+
+@pytest.mark.parametrize("n", [3, 40])
+def test_skipped_blocks_do_not_change_the_answer(spark, n, monkeypatch):
+    """Long documents, one text that a third of all rows repeat, empty and null texts, ties, a question without a known word."""
+    monkeypatch.setattr(retrieval, "BLOCK_DOCS", 8)
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(60)]
+    share = 1 / np.arange(1, 61)
+    texts = [" ".join(rng.choice(words, rng.integers(1, 400), p=share / share.sum())) for _ in range(200)]
+    texts += ["w3 w30 w41"] * 100 + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    questions = [(1, "w41 w30 w30"), (2, "w1"), (3, "w55 w2 w59"), (4, "nothing"), (5, None)]
+    queries = spark.createDataFrame(questions, "query_id long, question string")
+    index = retrieval.lexical_index(docs, stored=True, block_docs=8)
+    everything = {}
+    for r in retrieval.lexical_scores(queries, index).collect():
+        if r.score > 0:
+            everything.setdefault(r.query_id, []).append((-r.score, r.doc_id))
+    want = {(q, d, -s, k + 1) for q, found in everything.items() for k, (s, d) in enumerate(sorted(found)[:n])}
+    got = {(r.query_id, r.doc_id, r.score, r["rank"]) for r in retrieval.lexical_topn(queries, index, n).collect()}
+    assert got == want and {q for q, *_ in got} == {1, 2, 3}
+
+    wanted, _ = retrieval._weighted_terms(queries, index)
+    limits = retrieval.block_limits(wanted, index).persist()
+    top = spark.createDataFrame(sorted(got), "query_id long, doc_id long, score double, rank int")
+    left = retrieval.blocks_left(limits, limits.limit(0), top, n)
+    assert left.count() < limits.count() or n == 40
+    placed = index.blocks.select("block", F.explode("docs.doc_id").alias("doc_id")).distinct()
+    best = top.join(placed, "doc_id").select("query_id", "block").distinct()
+    assert best.join(left, ["query_id", "block"], "left_anti").count() == 0
+
+
+def test_postings_of_an_empty_corpus(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    queries = spark.createDataFrame([(1, "w1")], "query_id long, question string")
+    assert retrieval.lexical_topn(queries, retrieval.lexical_index(docs)).count() == 0
+
+
+def test_weights_inside_the_row(spark):
+    rows = [(1, "late refund late"), (2, "refund now"), (3, "zz"), (4, ""), (5, None), (6, "late refund late")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    vocab = tfidf.vocabulary(tfidf.term_counts(df, "id", "text"), df, min_df=2, max_df=1.0).persist()
+    wide = tfidf.weights_in_row(df, vocab, "id", "text")
+    assert {r.id: len(r["items"]) for r in wide.collect()} == {1: 4, 2: 1, 3: 0, 4: 0, 5: 0, 6: 4}
+    want = tfidf.weights(tfidf.term_counts(df, "id", "text"), vocab, "id")
+    flat = lambda d: sorted((r.id, r.term, r.term_index, round(r.weight, 12)) for r in d.collect())
+    assert flat(tfidf.fit_weights(df, "id", "text", min_df=2, max_df=1.0)[0]) == flat(want)
+    none = tfidf.weights_in_row(df, vocab.limit(0), "id", "text").collect()
+    assert len(none) == 6 and not any(r["items"] for r in none)
