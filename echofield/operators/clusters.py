@@ -167,7 +167,7 @@ def density_clusters(
     dense = durable(cells.join(around, "_cell").filter(F.col("around") >= min_points).select("_cell"))
     reach = near.join(dense.withColumnRenamed("_cell", "b"), "b", "left_semi").select("a", "b")  # cell -> dense neighbour
     edges = durable(reach.join(dense.withColumnRenamed("_cell", "a"), "a", "left_semi"))
-    labels = _components(dense, edges, max_rounds)
+    labels = components(dense, edges, max_rounds)
     joined = reach.join(labels.withColumnRenamed("_cell", "b"), "b").groupBy(F.col("a").alias("_cell")).agg(F.min("label").alias("label"))
     own = joined.join(labels.withColumnRenamed("label", "own"), "_cell", "left").select(
         "_cell", F.coalesce("own", "label").alias("label")
@@ -178,7 +178,7 @@ def density_clusters(
     return placed.join(final, "_cell", "left").withColumn(name, F.coalesce("_number", F.lit(-1)).cast("int")).drop("_cell", "_number")
 
 
-def _components(nodes: DataFrame, edges: DataFrame, max_rounds: int) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame, max_rounds: int) -> DataFrame:
     """(_cell, label = lowest cell number reachable). Each round takes the lowest neighbour label and then that
     label's own label; lineage is cut every third round."""
     labels = nodes.select("_cell", F.col("_cell").alias("label"))
