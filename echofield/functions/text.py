@@ -45,10 +45,15 @@ def language_hits(c: Column) -> Column:
     return let(padded, lambda p: F.array(*[F.regexp_count(p, F.lit(x)) for x in patterns]))
 
 
-def detect_language(c: Column) -> Column:
-    """Language with most function-word hits (ties: list order); mostly Devanagari letters -> hi; else unknown."""
+def mostly_devanagari(c: Column) -> Column:
+    """More than half as many Devanagari signs as letters; null for a null text."""
     letters = F.regexp_count(c, F.lit(r"\p{L}"))
     native = F.regexp_count(c, F.lit(r"[\x{0900}-\x{097F}]"))
+    return (native * 2 > letters) & (native > 0)
+
+
+def detect_language(c: Column) -> Column:
+    """Language with most function-word hits (ties: list order); mostly Devanagari letters -> hi; else unknown."""
 
     def pick(hits: Column) -> Column:
         top = F.array_max(hits)
@@ -57,8 +62,7 @@ def detect_language(c: Column) -> Column:
             out = out.when(hits[i] == top, F.lit(lang))
         return out
 
-    mostly_native = F.coalesce((native * 2 > letters) & (native > 0), F.lit(False))
-    return F.when(mostly_native, "hi").otherwise(let(language_hits(c), pick))
+    return F.when(F.coalesce(mostly_devanagari(c), F.lit(False)), "hi").otherwise(let(language_hits(c), pick))
 
 
 def is_hinglish(c: Column, lang: Column, strict: bool = False, minimum: int = 2) -> Column:

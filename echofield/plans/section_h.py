@@ -6,11 +6,13 @@ from echofield import fixed
 from echofield.functions import labels as lb
 from echofield.functions import numbers as nm
 from echofield.functions import text as tx
+from echofield.operators import language_profiles as profiles
 from echofield.operators import order
 from echofield.plans.registry import query
 from echofield.plans.views import (
     CLEANED, LEGAL_HERE, MONEY_HERE, PAIR_HERE, REVIEWS, SCORED, clean_sql, word_pattern,
 )
+from echofield.session import durable
 
 def _clean(c: str) -> str:
     return clean_sql(c)
@@ -51,6 +53,32 @@ def h3(t):
     return t("documents").select("doc_id", "lang", tx.detect_language(F.col("text")).alias("detected_lang"))
 
 
+_HELD_OUT = "substr(md5(doc_id::VARCHAR), 1, 1) < '5'"
+
+
+@query("h3_profile_language", rf"""WITH base AS (SELECT doc_id, lang, text, {_HELD_OUT} AS held_out,
+      ' ' || trim(regexp_replace(lower(coalesce(text, '')), '{profiles.NOT_LETTERS}', ' ', 'g')) || ' ' AS s FROM documents),
+    grams AS MATERIALIZED (SELECT doc_id, lang, held_out, unnest([s[i:i + 2] for i in range(1, len(s) - 1)]) AS g FROM base),
+    counted AS (SELECT lang, g, count(*) AS f FROM grams WHERE NOT held_out AND lang IS NOT NULL GROUP BY ALL),
+    kept AS (SELECT *, 2 * sum(f) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang) + 1 AS under FROM (
+      SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY lang ORDER BY f DESC, g) <= {profiles.TOP})),
+    floors AS (SELECT DISTINCT lang, round(1000 * ln(1.0::DOUBLE / under))::BIGINT AS w0 FROM kept),
+    weights AS (SELECT lang, g, round(1000 * ln((2 * f + 1)::DOUBLE / under))::BIGINT - w0 AS gain FROM kept JOIN floors USING (lang)),
+    per AS (SELECT doc_id, g, count(*) AS c FROM grams GROUP BY ALL),
+    sizes AS (SELECT doc_id, sum(c) AS n FROM per GROUP BY 1),
+    gains AS (SELECT doc_id, weights.lang, sum(c * gain) AS s FROM per JOIN weights USING (g) GROUP BY ALL),
+    scores AS (SELECT z.doc_id, z.n, f.lang, z.n * f.w0 + coalesce(h.s, 0) AS score FROM sizes z CROSS JOIN floors f LEFT JOIN gains h ON h.doc_id = z.doc_id AND h.lang = f.lang),
+    best AS (SELECT doc_id, n, lang AS top, score - lead(score) OVER w AS lead FROM scores WINDOW w AS (PARTITION BY doc_id ORDER BY score DESC, lang) QUALIFY row_number() OVER w = 1)
+    SELECT doc_id, lang, held_out, CASE WHEN 2 * len(regexp_extract_all(text, '[\x{{0900}}-\x{{097F}}]')) > len(regexp_extract_all(text, '\p{{L}}')) THEN 'hi'
+      WHEN doc_id NOT IN (SELECT doc_id FROM gains) OR lead < {profiles.MARGIN} * n THEN 'unknown' ELSE top END AS detected_lang, lead::BIGINT AS lead FROM base LEFT JOIN best USING (doc_id)""")
+def h3_profile(t):
+    """Profiles of the documents outside the held-out fold, applied to all documents."""
+    d = t("documents").select("doc_id", "lang", "text", (F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1) < "5").alias("held_out"))
+    fitted = durable(profiles.fit(d.filter("not held_out"), "text", "lang"))
+    told = profiles.detect(d, "text", "doc_id", fitted)
+    return d.select("doc_id", "lang", "held_out").join(told, "doc_id")
+
+
 _HINGLISH = "[" + ", ".join(f"'{w}'" for w in fixed.HINGLISH_WORDS) + "]"
 
 

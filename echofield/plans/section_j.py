@@ -4,7 +4,7 @@ from itertools import product
 
 from pyspark.sql import functions as F
 
-from echofield.operators import clusters, coords, outliers, worklist
+from echofield.operators import clusters, coords, density, outliers, worklist
 from echofield.plans.registry import query
 from echofield.plans.views import SCORED, VECTORS
 from echofield.session import durable
@@ -107,6 +107,27 @@ def j5(t):
     return d.select("vec_id", "hdbscan_cluster")
 
 
+_REACH, _CORE, _WIDE = 0.85, 12, 10
+_APART = " + ".join(f"(a.coord_{i} - b.coord_{i}) * (a.coord_{i} - b.coord_{i})" for i in range(1, _WIDE + 1))
+
+
+@query("j5_reachability_clusters", f"""WITH RECURSIVE pts AS MATERIALIZED ({_projection_sql(_WIDE)}),
+    near AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM pts a JOIN pts b ON {_APART} <= {_REACH * _REACH!r}::DOUBLE),
+    core AS MATERIALIZED (SELECT a FROM near GROUP BY a HAVING count(*) >= {_CORE}),
+    edges AS MATERIALIZED (SELECT a, b FROM near WHERE a IN (SELECT a FROM core) AND b IN (SELECT a FROM core)),
+    reach(v, root) AS (SELECT a, a FROM core UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.v),
+    comp AS (SELECT v, min(root) AS first_id FROM reach GROUP BY 1),
+    sized AS (SELECT first_id FROM comp GROUP BY 1 HAVING count(*) >= {_SIZE})
+    SELECT vec_id, vec_id IN (SELECT a FROM core) AS is_core, sized.first_id FROM pts LEFT JOIN comp ON v = vec_id LEFT JOIN sized USING (first_id)""")
+def j5_reachability(t):
+    """Clusters over ten coordinates, each named by its smallest id; noise has none."""
+    c = coords.sign_projection(t("embeddings"), "embedding", WIDTH, _WIDE)
+    names = [f"coord_{i + 1}" for i in range(_WIDE)]
+    d = durable(density.reachability_clusters(c.select("vec_id", *names), names, _REACH, _CORE, _SIZE).select("vec_id", "is_core", "hdbscan_cluster"))
+    first = d.filter("hdbscan_cluster >= 0").groupBy("hdbscan_cluster").agg(F.min("vec_id").alias("first_id"))
+    return d.join(first, "hdbscan_cluster", "left").select("vec_id", "is_core", "first_id")
+
+
 @query("j7_isolation_forest")
 def j7(t):
     return outliers.isolation_flags(t("embeddings"), "embedding", trees=200, key="vec_id")
