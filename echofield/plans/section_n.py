@@ -245,7 +245,10 @@ _ANSWERS = f"""{LEXICAL}, ids AS (SELECT query_id, rank, 'R' || CASE WHEN doc_id
 
 
 def _retrieved(t):
-    return _lexical(t, fixed.ANSWER_K).select("query_id", "rank", tx.short_id(F.col("doc_id")).alias("sid"))
+    """Stored for the query: answers and their audit read the same list."""
+    if "retrieved" not in t.__dict__:
+        t.retrieved = written(_lexical(t, fixed.ANSWER_K).select("query_id", "rank", tx.short_id(F.col("doc_id")).alias("sid")), "retrieved")
+    return t.retrieved
 
 
 def _answers(t):
@@ -322,7 +325,7 @@ def _block_sql(name: str) -> str:
 
 
 def _blocks(t, variants):
-    truth = _truth(t)
+    truth = written(_truth(t), "truth")  # read twice for each variant
     parts = [rt.evaluate(_search(t, v), truth).withColumn("variant", F.lit(v)) for v in variants]
     return rt.metric_block(combine.union_all(parts), ["variant"])
 
