@@ -7,6 +7,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
@@ -94,38 +95,77 @@ def silhouette_sample(df: DataFrame, cluster: str, vector: str, n: int = 2000, k
     return spread.mapInPandas(run, schema)
 
 
-#: Rows of a block of ``silhouette``; a task holds two blocks.
-SILHOUETTE_BLOCK = 1024
+#: Rows of a block of ``silhouette``; a task holds two blocks in Python. Blocks of one partition that all others read.
+SILHOUETTE_BLOCK, SILHOUETTE_PANEL = 1024, 128
+
+
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows to rows: from products, and from explicit differences where these would lose digits."""
+    explicit = lambda a, b: np.sqrt(((a - b) ** 2).sum(axis=-1))
+    if not (np.isfinite(x).all() and np.isfinite(y).all()):
+        return np.vstack([explicit(x[at : at + 16, None, :], y[None, :, :]) for at in range(0, len(x), 16)])
+    size = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :]
+    square = size - 2 * (x @ y.T)
+    i, j = np.nonzero(square <= 1e-6 * size)
+    out = np.sqrt(np.maximum(square, 0.0))
+    for at in range(0, len(i), 1 << 16):
+        k = slice(at, at + (1 << 16))
+        out[i[k], j[k]] = explicit(x[i[k]], y[j[k]])
+    return out
+
+
+def _places(labels: pa.Array) -> tuple[list, np.ndarray]:
+    """Different values (null is one) and the place of each row's value among them."""
+    coded = labels.dictionary_encode(null_encoding="encode")
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
 
 
 def silhouette(df: DataFrame, cluster: str, vector: str, key: str = "id") -> DataFrame:
     """(key, cluster, silhouette) with Euclidean distances of every row to all rows, for unique keys.
 
-    Blocks of rows meet each other; a pair of blocks leaves one partial sum per row and cluster. A row alone in its cluster
-    has 0; with one cluster there is no value.
+    Rows are written in blocks once; tasks read the blocks that meet theirs from there, so pairs of blocks are not shuffled. A
+    block leaves one partial sum per row and cluster for each partition of blocks that it meets. A row alone in its cluster has 0;
+    with one cluster there is no value.
     """
     rows = df.select(F.col(key).alias("_k"), F.col(cluster).alias("_c"), F.col(vector).alias("_v"))
     n = math.ceil(max(1, rows.count()) / SILHOUETTE_BLOCK)
     packed = rows.groupBy(F.pmod(F.xxhash64("_k"), F.lit(n)).alias("_b")).agg(F.collect_list(F.struct("_k", "_c", "_v")).alias("_p"))
-    packed = durable(packed.select("_b", F.col("_p._k").alias("_k"), F.col("_p._c").alias("_c"), F.col("_p._v").alias("_v")))
-    others = packed.select(F.col("_b").alias("_o"), F.col("_c").alias("_d"), F.col("_v").alias("_w"))
-    width = min(n * n, 8 * df.sparkSession.sparkContext.defaultParallelism)
-    met = packed.crossJoin(others).repartition(width, "_b", "_o")
+    packed = packed.select("_b", F.col("_p._k").alias("_k"), F.col("_p._c").alias("_c"), F.col("_p._v").alias("_v"))
+    packed = durable(packed.repartition(min(n, 4 * df.sparkSession.sparkContext.defaultParallelism), "_b"))
+    others = packed.select(F.col("_c").alias("_d"), F.col("_v").alias("_w")).coalesce(math.ceil(n / SILHOUETTE_PANEL))
+    met = packed.join(others.hint("shuffle_replicate_nl"))
+
+    def matrix(column: pa.ListArray, i: int) -> np.ndarray:
+        rows = column.slice(i, 1).flatten()
+        return rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), -1)
 
     def run(batches):
-        for pdf in batches:
-            for keys, own, v, other, w in zip(*(pdf[c] for c in ("_k", "_c", "_v", "_d", "_w"))):
-                x, y = (np.vstack(m).astype(np.float64) for m in (v, w))
-                groups, place = np.unique(other, return_inverse=True)
-                member = np.eye(len(groups))[place]
-                sums = np.vstack([np.sqrt(((x[at : at + 16, None, :] - y[None, :, :]) ** 2).sum(axis=2)) @ member for at in range(0, len(x), 16)])
-                yield pd.DataFrame({
-                    "_k": np.repeat(keys, len(groups)), "_c": np.repeat(own, len(groups)), "_d": np.tile(groups, len(x)),
-                    "_total": sums.ravel(), "_n": np.tile(member.sum(axis=0).astype(np.int64), len(x)),
-                })
+        held = None  # the block at hand, and its sums so far
+
+        def told():
+            _, keys, own, _, sums = held
+            d, found = list(sums), list(sums.values())
+            yield pa.RecordBatch.from_arrays([
+                pa.concat_arrays([keys] * len(d)), pa.concat_arrays([own] * len(d)), pa.array([g for g in d for _ in keys], own.type),
+                pa.array(np.concatenate([s for s, _ in found])), pa.array(np.repeat([m for _, m in found], len(keys)).astype(np.int64)),
+            ], ["_k", "_c", "_d", "_total", "_n"])
+
+        for batch in batches:
+            for i, b in enumerate(batch.column("_b").to_pylist()):
+                if held is None or held[0] != b:
+                    if held is not None:
+                        yield from told()
+                    held = b, batch.column("_k").slice(i, 1).flatten(), batch.column("_c").slice(i, 1).flatten(), matrix(batch.column("_v"), i), {}
+                groups, place = _places(batch.column("_d").slice(i, 1).flatten())
+                totals = _distances(held[3], matrix(batch.column("_w"), i)) @ np.eye(len(groups))[place]
+                for j, (g, m) in enumerate(zip(groups, np.bincount(place, minlength=len(groups)))):
+                    s, c = held[4].get(g, (0.0, 0))
+                    held[4][g] = s + totals[:, j], c + m
+        if held is not None:
+            yield from told()
 
     kind, label = (rows.schema[c].dataType.simpleString() for c in ("_k", "_c"))
-    sums = met.mapInPandas(run, f"_k {kind}, _c {label}, _d {label}, _total double, _n bigint").groupBy("_k", "_c", "_d").agg(F.sum("_total").alias("_total"), F.sum("_n").alias("_n"))
+    sums = met.mapInArrow(run, f"_k {kind}, _c {label}, _d {label}, _total double, _n bigint").groupBy("_k", "_c", "_d").agg(F.sum("_total").alias("_total"), F.sum("_n").alias("_n"))
     same = F.col("_c") == F.col("_d")
     mean = F.try_divide("_total", F.col("_n") - same.cast("int"))
     d = sums.groupBy("_k", "_c").agg(F.max(F.when(same, mean)).alias("_in"), F.min(F.when(~same, mean)).alias("_out"))
