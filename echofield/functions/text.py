@@ -47,9 +47,10 @@ def language_hits(c: Column) -> Column:
 
 def mostly_devanagari(c: Column) -> Column:
     """More than half as many Devanagari signs as letters; null for a null text."""
-    letters = F.regexp_count(c, F.lit(r"\p{L}"))
-    native = F.regexp_count(c, F.lit(r"[\x{0900}-\x{097F}]"))
-    return (native * 2 > letters) & (native > 0)
+    # what is left of the text is counted: a match for each run of other signs, not for each letter
+    letters = F.length(F.regexp_replace(c, r"\P{L}+", ""))
+    native = F.length(F.regexp_replace(c, r"[^\x{0900}-\x{097F}]+", ""))
+    return (native > 0) & (native * 2 > letters)
 
 
 def detect_language(c: Column) -> Column:
