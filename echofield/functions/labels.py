@@ -22,15 +22,20 @@ def high_engagement(thumbs: Column) -> Column:
     return F.coalesce(thumbs > 10, F.lit(False))
 
 
+def severity_label(listed: Column, score: Column) -> Column:
+    """2 for a text with a listed term, 1 for two stars or fewer, else 0; an absent score never counts as low."""
+    return F.when(listed, 2).when(score <= 2, 1).otherwise(0)
+
+
 def weak_label(content: Column, score: Column, legal: list[str] | None = None) -> Column:
     """2 for a legal term, 1 for two stars or fewer, else 0; an absent score never counts as low."""
-    return F.when(tx.any_word(content, legal or fixed.LEGAL_TERMS), 2).when(score <= 2, 1).otherwise(0)
+    return severity_label(tx.any_word(content, legal or fixed.LEGAL_TERMS), score)
 
 
 def gold_label(content: Column, score: Column, legal=None, pair=fixed.GOLD_WORD_PAIR) -> Column:
     low = F.lower(content)
     both = F.coalesce(F.contains(low, F.lit(pair[0])) & F.contains(low, F.lit(pair[1])), F.lit(False))
-    return F.when(tx.any_word(content, legal or fixed.LEGAL_TERMS) | both, 2).when(score <= 2, 1).otherwise(0)
+    return severity_label(tx.any_word(content, legal or fixed.LEGAL_TERMS) | both, score)
 
 
 def severity_colour(isolated: Column, noise: Column) -> Column:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from echofield.operators import metrics as mt
 from echofield.plans.registry import query
 from echofield.plans.views import SCORED
+from echofield.sources.tables import written
 
 # Three-class truth and prediction plus a probability vector, all from review attributes.
 _MULTI = SCORED + """, multi AS (SELECT id, platform, severity_label_weak AS truth,
@@ -135,7 +136,7 @@ _H = "('0x' || substr(md5('42|' || id), 1, 15))::BIGINT"
 @query("l1_stratified_fallback", f"""WITH {_MULTI}, r AS (SELECT id, truth, row_number() OVER (PARTITION BY truth ORDER BY {_H}) AS r, count(*) OVER (PARTITION BY truth) AS n FROM multi)
     SELECT id, truth, r <= ceil(0.25 * n) AS is_test FROM r""")
 def l1_stratified(t):
-    d = _multi(t).withColumn("only", F.lit("one-group"))
+    d = written(_multi(t).select("id", "truth"), "labelled").withColumn("only", F.lit("one-group"))  # read by every step of the split
     return mt.group_holdout(d, "truth", "only").select("id", "truth", "is_test")
 
 
