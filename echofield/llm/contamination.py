@@ -64,7 +64,7 @@ def _bits(n: int) -> int:
 def _places(docs: DataFrame, keys: DataFrame, widths: list[int], carried: list[str], context: int | None) -> DataFrame:
     """``carried``, ``_n`` (words) and ``_hits``: (p, t) of the places whose shingle may be a key, with up to ``context`` words around."""
     bits = _bits(keys.count())
-    table = staged(bit_table(keys.select("t"), ["t"], bits), "leak-table")
+    table = staged(bit_table(keys.select("t"), ["t"], bits, hashed=True), "leak-table")
     rows = docs.select(*carried, words(F.col("_text")).alias("_ws")).withColumn("_table", table.scalar())
 
     def around(w: Column, x: Column, width: int) -> Column:
@@ -74,7 +74,7 @@ def _places(docs: DataFrame, keys: DataFrame, widths: list[int], carried: list[s
     def hits(w: Column) -> Column:
         found = []
         for width in widths:
-            own = F.filter(_shingles(w, width), lambda x: in_table(F.col("_table"), [x["t"]], bits))
+            own = F.filter(_shingles(w, width), lambda x: in_table(F.col("_table"), [x["t"]], bits, hashed=True))
             found.append(own if context is None else F.transform(own, lambda x: around(w, x, width)))  # noqa: B023
         return F.struct(F.size(w).alias("n"), (F.concat(*found) if len(found) > 1 else found[0]).alias("hits"))
 
