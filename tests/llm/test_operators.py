@@ -263,6 +263,52 @@ def test_lm_probabilities_add_up(docs):
         assert math.isclose(p.sum(), 1, rel_tol=1e-4)
 
 
+def test_topk_with_whole_documents_as_queries(spark):
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 260))) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts + texts[:6])] + [(None, texts[7]), (3, texts[8])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    index = staged(topk.build_index(docs), "test-index")
+    queries = spark.createDataFrame([(i, t) for i, t in rows if i is None or i % 5 == 0] + [(1000, "w1 w2 w2 w3"), (1001, "none " + " ".join(words))], "query_id bigint, text string")
+    found = [Counter(topk.terms(t)) for _, t in rows]
+    df, mean = Counter(w for x in found for w in x), sum(sum(x.values()) for x in found) / len(rows)
+    want = []
+    for q, t in queries.collect():
+        best = []
+        for (i, _), tf in zip(rows, found):
+            size = sum(tf.values())
+            s = sum(k * math.log(1 + (len(rows) - df[w] + 0.5) / (df[w] + 0.5)) * tf[w] * 2.2 / (tf[w] + 1.2 * (0.25 + 0.75 * size / mean)) for w, k in Counter(topk.terms(t)).items() if tf[w])
+            if s:
+                best.append((-round(s, 6), i is None, i or 0, i))
+        want += [(q, n + 1, b[3], -b[0]) for n, b in enumerate(sorted(best, key=lambda b: b[:3])[:7])]
+    assert max(len(set(topk.terms(t))) for _, t in rows) > topk.LONG_QUERY
+    same([tuple(r) for r in topk.search(index, queries, 7).select("query_id", "rank", "id", "score").collect()], want)
+
+
+def test_topk_sends_the_postings_of_a_shard_seldom():
+    # documents as queries: 12,800 of 256,000; blocks of 256 sent every shard's postings fifty times
+    assert topk._query_blocks(12_800, 32, 6) == 2 and topk._query_blocks(128_000, 320, 12) == 16
+    assert topk._query_blocks(2_564, 1, 6) == 11 and topk._query_blocks(0, 0, 6) == 1
+
+
+def test_whole_postings_are_as_cursors_find():
+    rng = np.random.default_rng(4)
+    size = rng.integers(50, 90, 400).astype(np.int32)
+    kept, cursors = [], []
+    for w in rng.random(80):
+        at = np.flatnonzero(rng.random(400) < 0.3).astype(np.int32)
+        tf = rng.integers(1, 5, len(at)).astype(np.int32)
+        kept.append((w, at, topk._impact(1.0, tf, size[at], float(size.mean()))))
+        starts, _ = topk._blocks(np.array([0, len(at)]))
+        last = at[np.append(starts[1:], len(at)) - 1]
+        parts = (at, tf, last, np.maximum.reduceat(tf, starts), np.minimum.reduceat(size[at], starts))
+        cursors.append(topk._Cursor({c: x.astype(np.int32).tobytes() for c, x in zip(topk.PARTS, parts)}, w, size, float(size.mean())))
+    assert topk.whole_postings(kept, 400, 10) == topk.block_max_wand(cursors, 10)
+    one = np.array([3, 5, 9], np.int32)
+    assert topk.whole_postings([(1.0, one, np.array([0.5, 0.5, 0.5]))], 12, 2) == [(0.5, 3), (0.5, 5)]
+
+
 def test_topk(spark, docs, empty):
     queries = spark.createDataFrame([(1, data.text(4, 34)), (2, "ofthe thing"), (3, None), (4, "absentword"), (None, "ab")], "query_id bigint, text string")
     index = staged(topk.build_index(docs), "test-index")
