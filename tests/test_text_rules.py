@@ -80,3 +80,26 @@ def test_citations_refusals_dashes(spark):
     rows = [("NOT enough evidence in the retrieved reviews to answer this, sorry",), ("ok",)]
     assert values(spark, rows, "t string", c=tx.is_refusal(F.col("t"))) == [(True,), (False,)]
     assert values(spark, [("a — b–c‑d",)], "t string", c=tx.plain_dashes(F.col("t"))) == [("a: b, c-d",)]
+
+
+def test_words_between_gaps_are_the_matches_of_their_patterns(spark):
+    import random
+
+    from echofield.llm import contamination
+
+    letters = ["a", "Z", "7", "_", "é", "É", "İ", "ß", "क", "ि", "१", "́", "中", "😀", "٣", " ", "\n", ".", "-", "\x00", "\x7f", " ", "‍"]
+    rng = random.Random(5)
+    texts = ["", " ", "a", "..", None, "abकa", "क", *("".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for _ in range(300))]
+    c, low = F.col("t"), F.lower("t")
+    matches = lambda of, pattern: F.regexp_extract_all(of, F.lit(pattern), F.lit(0))
+    upper = F.translate(F.coalesce(c, F.lit("")), contamination.UPPER, contamination.LOWER)
+    both = [
+        (tx.search_tokens(c), matches(low, r"[a-z0-9]+|[\x{0900}-\x{097F}]+")),
+        (tx.term_tokens(c), matches(low, r"[\p{L}\p{M}\p{N}_]{2,}")),
+        (tx.term_tokens(c, faithful=True), matches(tx.strip_accents(low), r"[\p{L}\p{N}_]{2,}")),
+        (contamination.words(c), matches(upper, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")),
+    ]
+    d = spark.createDataFrame([(t,) for t in texts], "t string")
+    for got, want in both:
+        assert "regexp_extract_all" not in str(got)
+        assert d.filter(~got.eqNullSafe(want)).count() == 0
