@@ -109,6 +109,17 @@ class Model:
         return at, np.where(hit, self.word[at], -1) if len(self.known) else at
 
 
+    def words_of(self, h: np.ndarray) -> np.ndarray:
+        """Word numbers alone: the words of the model are far fewer than the frequent tokens."""
+        own = np.flatnonzero(self.word >= 0)
+        words, number = self.known[own], self.word[own]
+        if not len(words):
+            return np.full(len(h), -1)
+        at = np.searchsorted(words, h)
+        at[at == len(words)] = 0
+        return np.where(words[at] == h, number[at], -1)
+
+
 def features(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """tokens x skips rows of weights; row 0, the bias of all, is left out. Contexts do not cross ``starts`` of documents."""
     n = len(h)
@@ -130,11 +141,20 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(1, keepdims=True)
 
 
+def _sums(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For each line of ``rows`` the sum of its rows of weights, one column of ``rows`` after the other."""
+    out = weights.take(rows[:, 0], axis=0)
+    for k in range(1, rows.shape[1]):
+        out += weights.take(rows[:, k], axis=0)
+    return out
+
+
 def _word_part(m: Model, f: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Softmax over the words of each row's class."""
-    w = m.to_word.reshape(ROWS, CLASSES, m.width)
-    x = w[f, c[:, None]].sum(1) + w[0, c]
-    x[c[:, None] * m.width + np.arange(m.width) >= m.used] = -np.inf
+    w = m.to_word.reshape(ROWS * CLASSES, m.width)
+    x = _sums(w, f * CLASSES + c[:, None]) + w.take(c, axis=0)
+    if m.used < CLASSES * m.width:
+        x[c[:, None] * m.width + np.arange(m.width) >= m.used] = -np.inf
     return _softmax(x)
 
 
@@ -144,13 +164,13 @@ def _summed(keys: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(flat, kind="stable")
     flat = flat[order]
     first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
-    return flat[first].astype(np.int64), np.add.reduceat(g[order // keys.shape[1]], first, axis=0)
+    return flat[first].astype(np.int64), np.add.reduceat(g.take(order // keys.shape[1], axis=0), first, axis=0)
 
 
 def log_prob(m: Model, f: np.ndarray, word: np.ndarray) -> np.ndarray:
     """log10 of P(word | context), or of P(last class | context) for word -1."""
     c = np.where(word >= 0, word // m.width, CLASSES)
-    p = _softmax(m.to_class[f].sum(1) + m.to_class[0])[np.arange(len(f)), c].astype(np.float64)
+    p = _softmax(_sums(m.to_class, f) + m.to_class[0])[np.arange(len(f)), c].astype(np.float64)
     i = np.flatnonzero(word >= 0)
     if len(i):
         q = _word_part(m, f[i], c[i])
@@ -173,7 +193,7 @@ def descend(m: Model, batches, rate: float = RATE) -> tuple[np.ndarray, np.ndarr
 
     for f, word in batches:
         c = np.where(word >= 0, word // m.width, CLASSES)
-        g = _softmax(by_class[f].sum(1) + by_class[0])
+        g = _softmax(_sums(by_class, f) + by_class[0])
         g[np.arange(len(f)), c] -= 1
         step(by_class, seen_c, f, g, (np.zeros(1, np.int64), g.sum(0, keepdims=True)))
         i = np.flatnonzero(word >= 0)
@@ -223,7 +243,7 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, key: Column
                 for batch in slices(batches, "_text"):
                     h, starts = tokens(batch.column("_text").to_pylist())
                     f = features(h, starts)
-                    word = mine.look(h)[1]
+                    word = mine.words_of(h)
                     # A step takes tokens from all over the batch, so that it is not one language or source.
                     order = np.random.default_rng(len(h)).permutation(len(h))
                     for at in range(0, len(h), BATCH):

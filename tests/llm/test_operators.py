@@ -388,3 +388,18 @@ def test_lm_weights_do_not_depend_on_worker_reuse(spark):
     # The changes of tasks that start from the same weights are averages: as small as one task's.
     whole = maxent.train(docs.coalesce(1), key=F.col("doc_id"))[0]
     assert np.abs(first.to_class).sum() <= 1.5 * np.abs(whole.to_class).sum()
+
+
+def test_lm_sums_and_words_are_those_of_the_full_lookups():
+    rng = np.random.default_rng(8)
+    weights = rng.normal(size=(50, 7)).astype(np.float32)
+    rows = rng.integers(0, 50, (400, 4))
+    assert (maxent._sums(weights, rows) == weights[rows].sum(1)).all()
+    known = np.sort(rng.choice(1 << 40, 300, replace=False)).astype(np.uint64)
+    word = np.full(300, -1)
+    word[rng.choice(300, 20, replace=False)] = np.arange(20)
+    none = np.zeros(0)
+    for k, w in ((known, word), (known, np.full(300, -1)), (known[:0], word[:0])):
+        m = maxent.Model(k, none, w, 1, 1, 1, 1, 1, none, none, 20)
+        h = np.concatenate([known, known + np.uint64(1)])
+        assert (m.words_of(h) == m.look(h)[1]).all()
