@@ -329,7 +329,10 @@ def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _tally(sets: DataFrame) -> np.ndarray:
-    """In how many sets the shingles of each of 2^TALLY_BITS buckets are."""
+    """In how many sets the shingles of each of 2^TALLY_BITS buckets are.
+
+    A task for each core, as each sends a count for nearly every bucket whatever its input.
+    """
 
     def run(batches):
         n = np.zeros(1 << TALLY_BITS, np.int64)
@@ -339,7 +342,8 @@ def _tally(sets: DataFrame) -> np.ndarray:
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["_bucket", "_times"])
 
-    found = sets.select("_set").mapInArrow(run, "_bucket bigint, _times bigint").groupBy("_bucket").agg(F.sum("_times").alias("_times")).toArrow()
+    few = sets.select("_set").coalesce(max(1, sets.sparkSession.sparkContext.defaultParallelism))
+    found = few.mapInArrow(run, "_bucket bigint, _times bigint").groupBy("_bucket").agg(F.sum("_times").alias("_times")).toArrow()
     out = np.zeros(1 << TALLY_BITS, np.int64)
     out[found.column("_bucket").to_numpy()] = found.column("_times").to_numpy()
     return out
@@ -349,7 +353,7 @@ def _prefixes(sets: DataFrame, roots: DataFrame, threshold: int) -> DataFrame:
     """The first shingles of each cut set (``_tok``, ``_cls``, ``_root``, ``_n``, ``_cap``) from rare to common, so many that two sets over the threshold share one.
 
     ``_cap`` is the largest set that can still reach the threshold when this is the first common shingle. Only these shingles
-    leave the task, not the sets.
+    leave the task, not the sets, and only those of classes that have a link meet the roots.
     """
     shared = sets.sparkSession.sparkContext.broadcast(_tally(sets))
 
@@ -369,9 +373,12 @@ def _prefixes(sets: DataFrame, roots: DataFrame, threshold: int) -> DataFrame:
                 edges = pa.array(np.concatenate([[0], np.cumsum([len(e) for e in entries])]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([batch.column("_cls"), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(edges, pa.concat_arrays(entries))], ["_cls", "_n", "_e"])
 
-    cut = sets.filter("_cut").mapInArrow(run, "_cls binary, _n bigint, _e array<struct<_tok: bigint, _cap: bigint>>")
-    cut = cut.join(roots.select(F.col("node").alias("_cls"), F.col("root").alias("_root")), "_cls", "left")
-    return cut.select("_cls", F.coalesce("_root", "_cls").alias("_root"), "_n", F.explode("_e").alias("_e")).select("_e._tok", "_cls", "_root", "_n", "_e._cap")
+    table = staged(bit_table(roots, ["node"], TABLE_BITS), "forest-linked")
+    cut = sets.filter("_cut").withColumn("_table", table.scalar()).withColumn("_hit", in_table("_table", ["_cls"], TABLE_BITS))
+    entries = lambda hit: cut.filter(hit).select("_cls", "_set").mapInArrow(run, "_cls binary, _n bigint, _e array<struct<_tok: bigint, _cap: bigint>>")
+    linked = entries("_hit").join(roots.select(F.col("node").alias("_cls"), F.col("root").alias("_root")), "_cls", "left")
+    cut = linked.withColumn("_root", F.coalesce("_root", "_cls")).unionByName(entries("not _hit").withColumn("_root", F.col("_cls")))
+    return cut.select("_cls", "_root", "_n", F.explode("_e").alias("_e")).select("_e._tok", "_cls", "_root", "_n", "_e._cap")
 
 
 def _words(column: pa.Array) -> np.ndarray:
@@ -416,16 +423,23 @@ def _meetings(batches):
 
 
 def finishing(sets: DataFrame, roots: DataFrame, threshold: int) -> DataFrame:
-    """``_a`` < ``_b`` of all pairs of cut sets with different roots that can reach the threshold, by their first common shingle."""
+    """``_a`` < ``_b`` of all pairs of cut sets with different roots that can reach the threshold, by their first common shingle.
+
+    Shingles that no pair can share stay where they are behind a bit table.
+    """
     entries = staged(_prefixes(sets, roots, threshold), "forest-prefixes")
     groups = entries.groupBy("_tok").agg(F.count(F.lit(1)).alias("_size"), F.min("_root").alias("_r"), F.max("_root").alias("_s"), F.max((F.col("_cap") >= F.col("_n")).cast("int")).alias("_any"))
     groups = staged(groups.filter("_r <> _s and _any = 1").select("_tok", "_size"), "forest-tokens")
-    rows = with_group(entries, groups, "_tok", "_size", entries.count()).filter("_size is not null")
+    table = staged(bit_table(groups, ["_tok"], TABLE_BITS), "forest-shared")
+    rows = entries.withColumn("_table", table.scalar()).filter(in_table("_table", ["_tok"], TABLE_BITS)).drop("_table")
+    rows = with_group(rows, groups, "_tok", "_size", entries.count()).filter("_size is not null")
     rows = rows.withColumn("_blocks", F.ceil(F.col("_size") / HOT_BLOCK)).drop("_size")
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
-    own = rows.withColumn("_block", F.pmod(F.xxhash64("_cls"), F.col("_blocks"))).withColumn("_asks", F.lit(False))
-    ask = rows.filter("_cap >= _n").withColumn("_block", every).withColumn("_asks", F.lit(True))
-    dealt = own.unionByName(ask).drop("_blocks").repartition(shuffle_width(sets), "_tok", "_block").sortWithinPartitions("_tok", "_block", "_asks", "_n")
+    place = lambda block, asks: F.struct(block.alias("_block"), F.lit(asks).alias("_asks"))
+    own = F.array(place(F.pmod(F.xxhash64("_cls"), F.col("_blocks")), False))
+    every = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1), lambda b: place(b, True))
+    dealt = rows.withColumn("_p", F.explode(F.when(F.col("_cap") >= F.col("_n"), F.concat(own, every)).otherwise(own)))
+    dealt = dealt.select("_tok", "_cls", "_root", "_n", "_cap", "_p._block", "_p._asks")
+    dealt = dealt.repartition(shuffle_width(sets), "_tok", "_block").sortWithinPartitions("_tok", "_block", "_asks", "_n")
     met = dealt.mapInArrow(_meetings, "_x binary, _y binary").select(F.least("_x", "_y").alias("_a"), F.greatest("_x", "_y").alias("_b")).distinct()
     met = staged(met, "forest-met")
     release(entries, groups)

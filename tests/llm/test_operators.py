@@ -403,3 +403,21 @@ def test_lm_sums_and_words_are_those_of_the_full_lookups():
         m = maxent.Model(k, none, w, 1, 1, 1, 1, 1, none, none, 20)
         h = np.concatenate([known, known + np.uint64(1)])
         assert (m.words_of(h) == m.look(h)[1]).all()
+
+
+def test_only_shingles_that_sets_share_meet_their_groups(spark, monkeypatch):
+    met, real = [], lsh_forest.with_group
+
+    def with_group(rows, *how):
+        met.append(rows.count())
+        return real(rows, *how)
+
+    monkeypatch.setattr(lsh_forest, "with_group", with_group)
+    rng = np.random.default_rng(3)
+    one = [np.unique(rng.integers(0, 2**63, 200, dtype=np.uint64)) for _ in range(40)]
+    sets = [*one, np.sort(np.append(one[0][1:], np.uint64(7)))]
+    rows = [(lsh_forest.digest(s), s.tobytes(), True) for s in sets]
+    roots = spark.createDataFrame([(rows[5][0], rows[5][0])], "node binary, root binary")
+    found = lsh_forest.finishing(spark.createDataFrame(rows, "_cls binary, _set binary, _cut boolean"), roots, 85).collect()
+    assert [{bytes(r._a), bytes(r._b)} for r in found] == [{rows[0][0], rows[40][0]}]
+    assert met[0] <= 70
