@@ -72,3 +72,17 @@ def test_nulls_not_finite_repeats_clashing_names_and_empty(spark):
     assert density.reachability_clusters(spark.createDataFrame([], schema), ["n", "w"], 1.0).collect() == []
     with pytest.raises(ValueError):
         density.reachability_clusters(spark.createDataFrame(rows, schema), [], 1.0)
+
+
+def test_no_row_is_written_for_a_pair_of_points(spark, monkeypatch):
+    written, real = [], density.durable
+
+    def durable(df):
+        out = real(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(density, "durable", durable)
+    x = np.random.default_rng(5).normal(size=(400, 10))
+    compare(spark, x, 2.5, 6, 10)
+    assert max(written) <= len(x)
