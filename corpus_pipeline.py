@@ -6,6 +6,9 @@ the last return the columns of ``docs``, in their order and whatever other colum
 
 Rows are addressed by id and a digest of the text, null-safe, so that repeated or null ids touch no other document.
 Decisions meet the texts behind a bit table of fixed size: rows that no decision names are not shuffled.
+
+A stage with Python tasks sets the session's limit of bytes for what goes to Python at once (``short_batches``), since its result is
+computed when the caller writes it.
 """
 
 from __future__ import annotations
@@ -14,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from echofield.llm import bpe, exact_dedup, language, lsh_forest, mixing
-from echofield.llm.common import bit_table, in_table, staged
+from echofield.llm.common import ARROW_LIMIT, bit_table, in_table, short_batches, staged
 
 #: Lead under which a document's language is taken for unknown. Far below the operator's own flag: clean short texts stay.
 REJECT_LEAD = 0.005
@@ -53,6 +56,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     The model learns from all rows with a text and a language. If there are none, only texts without a letter go.
     """
+    short_batches(spark)
     d, names = _plain(docs)
     model = language.train(d, names["text"], names["lang"])
     if not model.languages:
@@ -83,6 +87,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates; rows that repeat this id in the group are one document."""
+    short_batches(spark)
     d, names = _plain(docs)
     text, id_col = names["text"], names["doc_id"]
     d = d.withColumn("_h", _digest(text))
@@ -109,6 +114,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """``doc_id``, ``source``, ``n_tokens``, ``ids`` and the digest of the text that the ids decode to, for every row."""
     import public_tokenizers
 
+    short_batches(spark)
     d, names = _plain(docs)
     coded = bpe.round_trip(d, public_tokenizers.path(TOKENIZER), names["text"], names["doc_id"], keep=(names["source"],))
     return coded.select(
@@ -126,7 +132,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.conf.get(ARROW_LIMIT)
+    try:
+        for name, stage in STAGES:
+            docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    finally:
+        spark.conf.set(ARROW_LIMIT, before)
     return docs

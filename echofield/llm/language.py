@@ -164,9 +164,10 @@ def predict(docs: DataFrame, model: Model, text: str = "text", id_col: str = "do
     and clashing names of other columns do not matter.
     """
     names = ["_id", *[f"_keep{i}" for i in range(len(keep))]]
-    d = docs.select(F.col(text).alias("_text"), F.col(id_col).alias("_id"), *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)])
+    sent = ["_id", *["_text" if c == text else f"_keep{i}" for i, c in enumerate(keep)]]  # a kept text goes to the task once
+    d = docs.select(F.col(text).alias("_text"), F.col(id_col).alias("_id"), *[F.col(c).alias(n) for c, n in zip(keep, sent[1:]) if n != "_text"])
     schema = T.StructType(
-        [d.schema[n] for n in names]
+        [T.StructField(n, d.schema[s].dataType, d.schema[s].nullable, d.schema[s].metadata) for n, s in zip(names, sent)]
         + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
     )
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -180,7 +181,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", id_col: str = "do
                 for t in batch.column("_text").to_pylist()
             ]
             columns = [pa.array([r[i] for r in out], k) for i, k in enumerate((pa.string(), pa.float64(), pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *columns], [*names, "lang_pred", "score", "ambiguous"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in sent], *columns], [*names, "lang_pred", "score", "ambiguous"])
 
     out = d.mapInArrow(run, schema)
     return out.select(F.col("_id").alias(id_col), "lang_pred", "score", "ambiguous", *[F.col(f"_keep{i}").alias(c) for i, c in enumerate(keep)])

@@ -7,12 +7,14 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 import llm_data as data
 from echofield.llm import bpe, bwt, cotraining, exact_dedup, language, lsh_forest, maxent, mixing, token_cache, topk
-from echofield.llm.common import staged
+from echofield.llm.common import ARROW_BYTES, ARROW_LIMIT, staged
 
 ROWS = data.rows()
 
@@ -421,3 +423,26 @@ def test_only_shingles_that_sets_share_meet_their_groups(spark, monkeypatch):
     found = lsh_forest.finishing(spark.createDataFrame(rows, "_cls binary, _set binary, _cut boolean"), roots, 85).collect()
     assert [{bytes(r._a), bytes(r._b)} for r in found] == [{rows[0][0], rows[40][0]}]
     assert met[0] <= 70
+
+
+def test_pipeline_stages_send_long_texts_in_short_batches(spark):
+    before = spark.conf.get(ARROW_LIMIT)
+    docs = spark.range(1500).coalesce(1).selectExpr("id AS doc_id", "repeat('ab c ', 4000) AS text", "'en' AS lang", "'s' AS source")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    try:
+        corpus_pipeline.encode_tokens(spark, docs, "")
+        assert docs.select("text").mapInArrow(sizes, "n bigint").agg(F.max("n")).first()[0] <= 2 * ARROW_BYTES
+    finally:
+        spark.conf.set(ARROW_LIMIT, before)
+
+
+def test_language_sends_a_kept_text_once(spark):
+    docs = spark.createDataFrame([(1, "one two", "en"), (2, None, None)], "doc_id int, text string, lang string")
+    told = language.predict(docs, language.train(docs), keep=("text", "lang"))
+    assert [(r.doc_id, r.text, r.lang) for r in told.orderBy("doc_id").collect()] == [(1, "one two", "en"), (2, None, None)]
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert "_keep0" not in plan.split("MapInArrow")[-1].split("\n", 1)[1]
