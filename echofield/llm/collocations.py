@@ -8,7 +8,8 @@
 * Candidates are cut into shards of at most ``SHARD`` phrases. Each becomes a double-array trie over the bytes of the word
   numbers (bases and owners of slots; a child is at ``base ^ byte``), whose size bounds the broadcast. In a task numpy moves the states of all
   text positions at once, byte by byte, drops those without a child and adds up accepting slots by ``bincount``; Spark adds up tasks.
-* Several shards are several passes over the written numbers, so that what goes to a task never grows with the data.
+* Candidates beyond one shard still take one pass: windows that pass a bit table of the candidates are added up and meet the trie of their
+  shard, and places are marked by such a table. What goes to a task never grows with the data.
 * Cuts, scores (decimals), the rule for parts of longer phrases and the best of each language are Spark SQL.
 """
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from dataclasses import dataclass
-from itertools import repeat
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from echofield.llm.common import release, slices, staged
+from echofield.llm.common import TABLE_BITS, bit_table, in_table, release, slices, staged
 from echofield.llm.lsh_forest import _mixed
 
 LEAST, LONGEST, COVER, TOP = 10, 3, 50, 2000
@@ -34,8 +35,8 @@ BREAK = b"."
 SPLITS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
 #: log2 of the numbers in one part of the vocabulary, which is about half full.
 PART_BITS = 15
-#: Words that go to the tasks at once, and phrases in one trie.
-VOCABULARY, SHARD = 1 << 19, 1 << 20
+#: Words that go to the tasks at once (some 25 bytes each), and phrases in one trie.
+VOCABULARY, SHARD = 1 << 22, 1 << 20
 #: Positions whose states move at once; windows that a task adds up before it hands them on.
 POSITIONS, HELD = 1 << 18, 3 << 19
 BUCKET_BITS = 62
@@ -80,6 +81,42 @@ def numbered(words: DataFrame) -> DataFrame:
     return words.withColumn("_part", part).withColumn("id", F.col("_part") * (1 << PART_BITS) + F.row_number().over(w))
 
 
+#: Words whose numbers a task remembers.
+REMEMBERED = 1 << 18
+
+
+class Numbers:
+    """Numbers of the words of each language as flat arrays: sorted 64-bit digests, numbers, and the words themselves to compare with."""
+
+    def __init__(self, langs: list[str], words: list[str], ids: np.ndarray):
+        keys = [self.key(lang, word.encode()) for lang, word in zip(langs, words)]
+        digest = self.digests(keys)
+        order = np.argsort(digest, kind="stable")
+        self.digest, self.ids = digest[order], ids[order].astype(np.int32)
+        self.flat = b"".join(keys[i] for i in order)
+        self.ends = np.cumsum([0] + [len(keys[i]) for i in order])
+
+    @staticmethod
+    def key(lang: str, word: bytes) -> bytes:
+        raw = lang.encode()
+        return len(raw).to_bytes(4, "big") + raw + word
+
+    @staticmethod
+    def digests(keys: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(blake2b(k, digest_size=8).digest() for k in keys), np.uint64)
+
+    def of(self, lang: str, words: list[bytes]) -> list[int]:
+        """The number of each word, 0 for words that have none."""
+        keys = [self.key(lang, w) for w in words]
+        mine = self.digests(keys)
+        out = [0] * len(words)
+        for k, low, high in zip(range(len(keys)), np.searchsorted(self.digest, mine).tolist(), np.searchsorted(self.digest, mine, "right").tolist()):
+            for i in range(low, high):  # next to always one or none
+                if self.flat[self.ends[i] : self.ends[i + 1]] == keys[k]:
+                    out[k] = int(self.ids[i])
+        return out
+
+
 def as_numbers(docs: DataFrame, words: DataFrame) -> DataFrame:
     """``ids`` of every text that has words over the support: little-endian 32-bit numbers, 0 for breaks and other words.
 
@@ -90,19 +127,24 @@ def as_numbers(docs: DataFrame, words: DataFrame) -> DataFrame:
     known = None
     for first in range(0, parts, at_once):
         mine = words.filter(F.col("_part").between(first, first + at_once - 1)).select("lang", "word", "id").toArrow()
-        numbers: dict[str, dict[bytes, int]] = defaultdict(dict)
-        for lang, word, i in zip(*(mine.column(c).to_pylist() for c in ("lang", "word", "id"))):
-            numbers[lang][word.encode()] = i
-        shared = docs.sparkSession.sparkContext.broadcast(dict(numbers))
+        shared = docs.sparkSession.sparkContext.broadcast(Numbers(mine.column("lang").to_pylist(), mine.column("word").to_pylist(), mine.column("id").to_numpy()))
 
         def run(batches):
+            held: dict[str, dict[bytes, int]] = defaultdict(dict)
             for batch in slices(batches, "_text"):
                 out = []
                 before = batch.column("_ids").to_pylist() if "_ids" in batch.schema.names else None
-                for k, (lang, text) in enumerate(zip(batch.column("_lang").to_pylist(), _texts(batch))):
-                    get = shared.value.get(lang, {}).get
-                    t = tokens(text)
-                    ids = np.fromiter(map(get, t, repeat(0)), np.int32, len(t))
+                split = [(lang, tokens(text)) for lang, text in zip(batch.column("_lang").to_pylist(), _texts(batch))]
+                if sum(map(len, held.values())) > REMEMBERED:
+                    held.clear()
+                fresh: dict[str, set[bytes]] = defaultdict(set)
+                for lang, t in split:
+                    fresh[lang].update(t)
+                for lang, new in fresh.items():
+                    new = list(new.difference(held[lang]))
+                    held[lang].update(zip(new, shared.value.of(lang, new)))
+                for k, (lang, t) in enumerate(split):
+                    ids = np.fromiter(map(held[lang].__getitem__, t), np.int32, len(t))
                     out.append((ids if before is None else np.maximum(ids, np.frombuffer(before[k], np.int32))).tobytes())
                 columns = [batch.column(c) for c in ("_lang", "_text")] if more else []
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], [*(("_lang", "_text") if more else ()), "_ids"])
@@ -156,6 +198,19 @@ def candidates(ids: DataFrame, size: int, least: int) -> DataFrame:
     support starts.
     """
     names = [f"w{k}" for k in range(size)]
+    found = _found(ids, size)
+    ends = [e for c in names for e in (F.min(c).alias(c), F.max(c).alias(f"_{c}"))]
+    full = staged(found.repartition("_bucket").groupBy("_bucket").agg(F.sum("_n").alias("_n"), *ends).filter(F.col("_n") >= least), "phrase-buckets")
+    one = " and ".join(f"{c} = _{c}" for c in names)
+    shared = full.filter(f"not ({one})").select("_bucket")
+    out = full.filter(one).select(*names)
+    # Buckets of several phrases are next to none; only for them the windows are made again.
+    return out if shared.isEmpty() else out.unionByName(found.join(shared, "_bucket", "left_semi").select(*names).distinct())
+
+
+def _found(ids: DataFrame, size: int) -> DataFrame:
+    """``_bucket``, ``w0`` .. and ``_n`` of the windows of ``size`` words, added up by the tasks."""
+    names = [f"w{k}" for k in range(size)]
 
     def run(batches):
         held, n = [], 0
@@ -178,14 +233,7 @@ def candidates(ids: DataFrame, size: int, least: int) -> DataFrame:
         if n:
             yield out()[2]
 
-    found = ids.mapInArrow(run, "_bucket bigint, " + ", ".join(f"{c} bigint" for c in names) + ", _n bigint")
-    ends = [e for c in names for e in (F.min(c).alias(c), F.max(c).alias(f"_{c}"))]
-    full = staged(found.repartition("_bucket").groupBy("_bucket").agg(F.sum("_n").alias("_n"), *ends).filter(F.col("_n") >= least), "phrase-buckets")
-    one = " and ".join(f"{c} = _{c}" for c in names)
-    shared = full.filter(f"not ({one})").select("_bucket")
-    out = full.filter(one).select(*names)
-    # Buckets of several phrases are next to none; only for them the windows are made again.
-    return out if shared.isEmpty() else out.unionByName(found.join(shared, "_bucket", "left_semi").select(*names).distinct())
+    return ids.mapInArrow(run, "_bucket bigint, " + ", ".join(f"{c} bigint" for c in names) + ", _n bigint")
 
 
 def _safe_windows(batch: pa.RecordBatch, size: int):
@@ -355,8 +403,13 @@ def _shared(tries: DataFrame, k: int, size: int):
 
 
 def count_phrases(ids: DataFrame, phrases: DataFrame, size: int, shard: int) -> DataFrame:
-    """``w0`` .. and ``f``: all occurrences of the candidates in the texts, by one pass for each shard."""
+    """``w0`` .. and ``f``: all occurrences of the candidates in the texts, by one pass whatever the number of shards.
+
+    ``ids`` has ``_safe`` from three words on where there are several shards.
+    """
     names = [f"w{k}" for k in range(size)]
+    if phrases.count() > shard:
+        return _count_dealt(ids, phrases, size, shard)
     tries, n = _tries(phrases, size, shard)
     cores, parts = max(1, ids.sparkSession.sparkContext.defaultParallelism), []
     for k in range(n):
@@ -386,8 +439,76 @@ def count_phrases(ids: DataFrame, phrases: DataFrame, size: int, shard: int) ->
     return out
 
 
+def _count_dealt(ids: DataFrame, phrases: DataFrame, size: int, shard: int) -> DataFrame:
+    """Counts of more candidates than a trie holds: windows that pass a bit table of the candidates are added up by phrase and meet the trie of their shard."""
+    names = [f"w{k}" for k in range(size)]
+    n = phrases.count()
+    keyed, bits = staged(_with_bucket(phrases, size), "phrase-keys"), _bits(n)
+    table = staged(bit_table(keyed, ["_bucket"], bits, hashed=True), "phrase-table")
+    kept = _found(ids, size).withColumn("_table", table.scalar()).filter(in_table("_table", ["_bucket"], bits, hashed=True)).groupBy("_bucket", *names).agg(F.sum("_n").alias("_n"))
+    dealt = F.pmod(F.col("_bucket"), F.lit(-(-n // shard))).alias("_shard")
+    kinds = ", ".join(f"{c} bigint" for c in [*names, "f"])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = lambda t: np.stack([t.column(c).to_numpy() for c in names], 1).astype(np.int32)
+        trie, slot = build(rows(left))
+        at, s = trie.advance(as_bytes(rows(right)))
+        total = np.zeros(len(trie.owner), np.int64)
+        np.add.at(total, s, right.column("_n").to_numpy()[at])
+        return pa.table([*[left.column(c) for c in names], pa.array(total[slot])], [*names, "f"])
+
+    left, right = keyed.select(dealt, *names).groupBy("_shard"), kept.select(dealt, *names, "_n").groupBy("_shard")
+    out = staged(left.cogroup(right).applyInArrow(run, kinds).filter(F.col("f") > 0), "phrase-counts")
+    release(keyed, table)
+    return out
+
+
+def _bits(n: int) -> int:
+    """log2 of the bits of a table of ``n`` keys: some twelve for each, 16 MB at most."""
+    return min(27, max(TABLE_BITS, (12 * n).bit_length()))
+
+
+def _with_bucket(phrases: DataFrame, size: int) -> DataFrame:
+    names = [f"w{k}" for k in range(size)]
+
+    def run(batches):
+        for b in batches:
+            x = np.stack([b.column(c).to_numpy() for c in names], 1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(x)), *[b.column(c) for c in names]], ["_bucket", *names])
+
+    return phrases.select(*names).mapInArrow(run, "_bucket bigint, " + ", ".join(f"{c} bigint" for c in names))
+
+
+def _marked_by_table(ids: DataFrame, phrases: DataFrame, size: int) -> DataFrame:
+    """``ids`` with ``_safe`` for more phrases than a trie holds, from a bit table: 1 at all places where a phrase starts and at few others.
+
+    A longer phrase over the support has parts over it in any case, so the others cost windows and change no result.
+    """
+    bits = _bits(phrases.count())
+    told = bit_table(_with_bucket(phrases, size), ["_bucket"], bits, hashed=True).toArrow().column("_table").combine_chunks()
+    shared = ids.sparkSession.sparkContext.broadcast(told.flatten().to_numpy())
+
+    def run(batches):
+        table, mask = shared.value, (1 << bits) - 1
+        for batch in batches:
+            flags = []
+            for raw in batch.column("_ids").to_pylist():
+                x = np.frombuffer(raw, np.int32)
+                safe = np.zeros(len(x), bool)
+                y = _windows(x, size)
+                at = np.flatnonzero((y > 0).all(1))
+                slot = _keys(y[at]) & mask
+                safe[at] = (table[slot >> 6] >> (slot & 63)) & 1 == 1
+                flags.append(safe.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("_ids"), pa.array(flags, pa.binary())], ["_ids", "_safe"])
+
+    return staged(ids.select("_ids").mapInArrow(run, "_ids binary, _safe binary"), "phrase-marks")
+
+
 def marked(ids: DataFrame, phrases: DataFrame, size: int, shard: int) -> DataFrame:
     """``ids`` with ``_safe``: a byte for each place, 1 where one of the ``phrases`` starts."""
+    if phrases.count() > shard:
+        return _marked_by_table(ids, phrases, size)
     tries, n = _tries(phrases, size, shard)
     out = ids.select("_ids")
     for k in range(n):
@@ -437,8 +558,9 @@ def collocations(
     if pairs.isEmpty():
         triples = docs.sparkSession.createDataFrame([], "w0 bigint, w1 bigint, w2 bigint, f bigint")
     else:
-        triples = staged(candidates(marked(ids, pairs, 2, shard), 3, least), "phrase-candidates")
-        triples = staged(count_phrases(ids, triples, 3, shard).filter(F.col("f") >= least), "phrase-triples")
+        safe = marked(ids, pairs, 2, shard)
+        triples = staged(candidates(safe, 3, least), "phrase-candidates")
+        triples = staged(count_phrases(safe, triples, 3, shard).filter(F.col("f") >= least), "phrase-triples")
 
     word = lambda k: words.select(F.col("id").alias(f"w{k}"), F.col("lang").alias(f"lang{k}"), F.col("word").alias(f"t{k}"), F.col("f").alias(f"f{k}"))
     wide = lambda a, left, right: (
